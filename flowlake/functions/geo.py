@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -53,6 +54,14 @@ def is_valid_geometry(wkt: Column) -> Column:
     return F.coalesce(shaped & F.forall(rings, closed), F.lit(False))
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Apply ``body`` to a value that is evaluated once and appears once in the plan.
+
+    Without it every mention of a geometry would copy its whole parsing expression.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _moments(ring: Column, anchor: Column, sign: Column) -> Column:
     """Twice the area and the first moments of a ring about the anchor, times the sign."""
     count = F.size(ring) - 1
@@ -66,10 +75,7 @@ def _moments(ring: Column, anchor: Column, sign: Column) -> Column:
         )
 
     total = _sum_moments(F.zip_with(F.slice(ring, 1, count), F.slice(ring, 2, count), step))
-    return F.transform(
-        F.array(total),
-        lambda t: _scaled(t, F.when(t["a"] < 0, -sign).otherwise(sign)),
-    )
+    return _bind(total, lambda t: _scaled(t, F.when(t["a"] < 0, -sign).otherwise(sign)))
 
 
 def _scaled(moment: Column, factor: Column) -> Column:
@@ -86,20 +92,15 @@ def _sum_moments(moments: Column) -> Column:
 
 
 def _geometry_moments(geometry: Column, anchor: Column) -> Column:
-    rings = F.flatten(
-        F.transform(
-            geometry,
-            lambda polygon: F.flatten(
-                F.transform(
-                    polygon,
-                    lambda ring, i: _moments(
-                        ring, anchor, F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-                    ),
-                )
+    def of_polygon(polygon: Column) -> Column:
+        return F.transform(
+            polygon,
+            lambda ring, i: _moments(
+                ring, anchor, F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
             ),
         )
-    )
-    return _sum_moments(rings)
+
+    return _sum_moments(F.flatten(F.transform(geometry, of_polygon)))
 
 
 def _anchor(geometry: Column) -> Column:
@@ -109,20 +110,28 @@ def _anchor(geometry: Column) -> Column:
 
 def area(geometry: Column) -> Column:
     """Planar area in square degrees, holes taken off, whatever the ring direction."""
-    return _geometry_moments(geometry, _anchor(geometry))["a"] / 2
+    return _bind(geometry, lambda g: _geometry_moments(g, _anchor(g))["a"] / 2)
 
 
 def centroid(geometry: Column) -> Column:
     """Area-weighted centroid ``struct<lon,lat>``; NULL when the geometry has no area."""
-    anchor = _anchor(geometry)
-    point = F.transform(
-        F.array(_geometry_moments(geometry, anchor)),
-        lambda m: F.struct(
-            (anchor["x"] + F.try_divide(m["mx"], m["a"] * 3)).alias("lon"),
-            (anchor["y"] + F.try_divide(m["my"], m["a"] * 3)).alias("lat"),
-        ),
-    )
-    return F.get(F.filter(point, lambda p: p["lon"].isNotNull()), F.lit(0))
+
+    def point(anchor: Column, moment: Column) -> Column:
+        whole = moment["a"] * 3
+        return F.when(
+            moment["a"] != 0,
+            F.struct(
+                (anchor["x"] + F.try_divide(moment["mx"], whole)).alias("lon"),
+                (anchor["y"] + F.try_divide(moment["my"], whole)).alias("lat"),
+            ),
+        )
+
+    def of_geometry(g: Column) -> Column:
+        return _bind(
+            _anchor(g), lambda anchor: _bind(_geometry_moments(g, anchor), lambda m: point(anchor, m))
+        )
+
+    return _bind(geometry, of_geometry)
 
 
 def distance_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -165,20 +174,25 @@ def within_polygon(lon: Column, lat: Column, wkt: str) -> Column:
         "array<struct<x1:double,y1:double,x2:double,y2:double,slope:double>>",
     )
 
-    def crosses(e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        return spans & (lon < e["x1"] + e["slope"] * (lat - e["y1"]))
+    def crosses(p: Column, e: Column) -> Column:
+        spans = (e["y1"] > p["lat"]) != (e["y2"] > p["lat"])
+        return spans & (p["lon"] < e["x1"] + e["slope"] * (p["lat"] - e["y1"]))
 
-    def touches(e: Column) -> Column:
-        turn = (e["x2"] - e["x1"]) * (lat - e["y1"]) - (e["y2"] - e["y1"]) * (lon - e["x1"])
+    def touches(p: Column, e: Column) -> Column:
+        turn = (e["x2"] - e["x1"]) * (p["lat"] - e["y1"]) - (e["y2"] - e["y1"]) * (
+            p["lon"] - e["x1"]
+        )
         return (
             (turn == 0)
-            & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & lat.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+            & p["lon"].between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & p["lat"].between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    odd = F.size(F.filter(literal, crosses)) % 2 == 1
-    return box & odd & ~F.exists(literal, touches)
+    def inside(p: Column) -> Column:
+        odd = F.size(F.filter(literal, lambda e: crosses(p, e))) % 2 == 1
+        return odd & ~F.exists(literal, lambda e: touches(p, e))
+
+    return box & _bind(F.struct(lon.alias("lon"), lat.alias("lat")), inside)
 
 
 def geojson(geometry: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -12,47 +12,44 @@ from pyspark.sql import Window as W
 DENSITY_POINTS = 200
 
 
-def _bounds(values: DataFrame) -> DataFrame:
-    """One row lo, hi, n, sd; a single-valued column gets a range of width one around it."""
-    raw = values.agg(
-        F.min("v").alias("lo"),
-        F.max("v").alias("hi"),
-        F.count("v").alias("n"),
-        F.stddev_samp("v").alias("sd"),
-    )
-    half = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
-    return raw.select((F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi"), "n", "sd")
-
-
 def _values(df: DataFrame, column: str, upper: float | None) -> DataFrame:
     values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     return values if upper is None else values.where(F.col("v") <= F.lit(upper))
 
 
+def _bounds(values: DataFrame) -> Row:
+    """lo, hi, n, sd of the values; a single-valued column gets a range of one around it."""
+    half = F.when(F.min("v") == F.max("v"), F.lit(0.5)).otherwise(F.lit(0.0))
+    return values.agg(
+        (F.min("v") - half).alias("lo"),
+        (F.max("v") + half).alias("hi"),
+        F.count("v").alias("n"),
+        F.stddev_samp("v").alias("sd"),
+    ).first()
+
+
 def histogram(df: DataFrame, column: str, bins: int = 50, upper: float | None = None) -> DataFrame:
     """Equal-width bins over the full range, or over the values up to ``upper``.
 
-    Every bin appears, also empty ones; the maximum belongs to the last bin.
+    Every bin appears, also empty ones; the maximum belongs to the last bin. The range is read
+    first, so the counting pass is one aggregation with literal bounds.
     """
     values = _values(df, column, upper)
     bounds = _bounds(values)
-    span = bounds.select(F.struct("lo", "hi")).scalar()
-    share = (F.col("v") - span["lo"]) / (span["hi"] - span["lo"])
+    count = bins if bounds.n else 0
+    lo, hi = (bounds.lo, bounds.hi) if bounds.n else (0.0, 1.0)
+    share = (F.col("v") - F.lit(lo)) / F.lit(hi - lo)
     counted = (
         values.select(F.least(F.floor(share * bins) + 1, F.lit(bins)).cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / bins
-    edges = bounds.where(F.col("n") > 0).select(
-        F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"),
-        F.col("lo"),
-        width.alias("width"),
-    )
-    return edges.join(counted, "bin", "left").select(
+    width = (hi - lo) / bins
+    numbers = df.sparkSession.range(1, count + 1, 1, 1).select(F.col("id").cast("int").alias("bin"))
+    return numbers.join(counted, "bin", "left").select(
         "bin",
-        (F.col("lo") + F.col("width") * (F.col("bin") - 1)).alias("lower"),
-        (F.col("lo") + F.col("width") * F.col("bin")).alias("upper"),
+        (F.lit(lo) + F.lit(width) * (F.col("bin") - 1)).alias("lower"),
+        (F.lit(lo) + F.lit(width) * F.col("bin")).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("frequency"),
     )
 
@@ -60,25 +57,24 @@ def histogram(df: DataFrame, column: str, bins: int = 50, upper: float | None =
 def density(df: DataFrame, column: str, bins: int = 50, upper: float | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid, in the count units of the histogram.
 
-    Scott bandwidth ``sd · n^(-1/5)``. Each value adds to every grid point, and the sums combine
-    inside each task, so what is shuffled is one row per grid point and task.
+    Scott bandwidth ``sd · n^(-1/5)``; no curve for values without spread. Each value adds to
+    every grid point, and the sums combine inside each task, so what is shuffled is one row per
+    grid point and task.
     """
     values = _values(df, column, upper)
     bounds = _bounds(values)
-    b = bounds.select(F.struct("lo", "hi", "n", "sd")).scalar()
-    last = DENSITY_POINTS - 1
-    grid = b["lo"] + (b["hi"] - b["lo"]) * F.col("point") / last
-    bandwidth = b["sd"] * F.pow(b["n"].cast("double"), F.lit(-0.2))
-    scaled = F.try_divide(F.col("x") - F.col("v"), bandwidth)
-    height = F.try_divide(
-        F.sum(F.exp(-0.5 * scaled * scaled)) * F.first((b["hi"] - b["lo"]) / bins),
-        F.first(bandwidth) * math.sqrt(2 * math.pi),
-    )
+    if not bounds.sd:
+        values, bounds = values.limit(0), Row(lo=0.0, hi=1.0, n=1, sd=1.0)
+    span, last = bounds.hi - bounds.lo, DENSITY_POINTS - 1
+    bandwidth = bounds.sd * bounds.n**-0.2
+    scale = span / bins / (bandwidth * math.sqrt(2 * math.pi))
+    x = F.lit(bounds.lo) + F.lit(span) * F.col("point") / last
+    distance = (x - F.col("v")) / F.lit(bandwidth)
     return (
-        values.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(last))))
-        .withColumn("x", grid)
-        .groupBy("point", "x")
-        .agg(height.alias("density"))
+        values.select("v", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
+        .groupBy("point")
+        .agg((F.sum(F.exp(-0.5 * distance * distance)) * F.lit(scale)).alias("density"))
+        .select("point", x.alias("x"), "density")
     )
 
 

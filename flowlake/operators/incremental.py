@@ -22,6 +22,15 @@ def date_spine(spark: SparkSession, start: str | date, end: str | date) -> DataF
     return spark.range(1).select(F.explode(days).alias("date")).select("date", day_key(F.col("date")).alias("fecha"))
 
 
+def span_days(df: DataFrame, column: str) -> DataFrame:
+    """Every day from the first to the last day of a column, as :func:`date_spine`."""
+    ends = df.agg(F.min(as_day(df, column)).alias("a"), F.max(as_day(df, column)).alias("b"))
+    days = F.explode(F.sequence("a", "b", F.expr("interval 1 day")))
+    return ends.where("a is not null").select(days.alias("date")).select(
+        "date", day_key(F.col("date")).alias("fecha")
+    )
+
+
 def as_day(df: DataFrame, column: str) -> Column:
     """A text, timestamp or date column as a date."""
     if isinstance(df.schema[column].dataType, T.StringType):
@@ -82,7 +91,8 @@ def pending_files(manifest: DataFrame, table: DataFrame | None, provenance: str)
 def coverage_gap(profile: DataFrame, name_map: DataFrame, year: str) -> DataFrame:
     """Profile zones of a year that the mapping lacks."""
     zones = profile.where(F.col("year") == year).select("id").distinct()
-    return missing_rows(zones, name_map, {"id": "municipio_mitma"})
+    mapped = name_map.select(F.col("municipio_mitma").alias("id")).distinct()
+    return zones.join(mapped, "id", "left_anti")
 
 
 def needs_rebuild(profile: DataFrame | None, name_map: DataFrame, year: str | None) -> bool:
@@ -97,7 +107,7 @@ def needs_rebuild(profile: DataFrame | None, name_map: DataFrame, year: str | No
 
 def mark_processed(processed: DataFrame, days: DataFrame) -> DataFrame:
     """Rows to append to a processed-day log (column ``fecha``), with the time of processing."""
-    fresh = missing_rows(days.select("fecha").distinct(), processed, {"fecha": "fecha"})
+    fresh = days.select("fecha").distinct().join(processed.select("fecha").distinct(), "fecha", "left_anti")
     return fresh.withColumn("processed_at", F.current_timestamp())
 
 

@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A side is broadcast only when it was counted to have at most this many rows.
 BROADCAST_ROWS = 100_000
-#: Copies of the keyed side, and so the number of tasks a single hot key is spread over.
-SALTS = 32
-
-_SALT = "__salt"
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -32,37 +28,22 @@ def lookup_join(
     """Join ``rows`` to ``keyed``, a table with at most one row per key.
 
     ``on`` maps a column of ``rows`` to a column of ``keyed``; the latter is not in the result.
-    A keyed side that fits is broadcast. A larger one is copied ``SALTS`` times and joined on
-    (key, salt), so the rows of one hot key spread over that many tasks. Every row meets every
-    match exactly once, hence inner, left, left_semi and left_anti all keep their meaning.
+    A keyed side that fits is broadcast, so the rows stay where they are however skewed they
+    are. A larger one is joined by shuffle, where AQE splits the partitions of hot keys (the
+    session settings force that even if it costs another shuffle later).
     """
     renamed = {right: f"__key_{i}" for i, right in enumerate(on.values())}
     right = keyed.select(
         *[F.col(c).alias(renamed[c]) for c in renamed],
         *[c for c in keyed.columns if c not in renamed],
     )
-    pairs = [(left, renamed[r]) for left, r in on.items()]
     if fits_broadcast(right) if small is None else small:
         right = F.broadcast(right)
-        left_rows = rows
-    else:
-        right = right.withColumn(_SALT + "_r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        # The input partition takes part so that identical copies of a row spread as well.
-        left_rows = rows.withColumn(
-            _SALT, F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.lit(SALTS))
-        )
-        pairs.append((_SALT, _SALT + "_r"))
-    joined = left_rows.join(right, _matches(left_rows, right, pairs, null_safe), how)
-    return joined.drop(*renamed.values(), _SALT, _SALT + "_r")
-
-
-def _matches(
-    left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], null_safe: bool
-) -> Column:
     terms = [
-        left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in pairs
+        F.col(a).eqNullSafe(F.col(renamed[b])) if null_safe else F.col(a) == F.col(renamed[b])
+        for a, b in on.items()
     ]
-    return reduce(lambda x, y: x & y, terms)
+    return rows.join(right, reduce(lambda x, y: x & y, terms), how).drop(*renamed.values())
 
 
 def matching_keys(

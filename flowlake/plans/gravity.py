@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.geo import distance_km
+from flowlake.operators.incremental import between_days
 from flowlake.operators.joins import role_join
 
 # The grid on which the scale factor is chosen.
 K_LOW, K_HIGH, K_POINTS = 10e-5, 1.0, 5000
 
 
-def latest_year(od: DataFrame) -> DataFrame:
-    """One row: the year of the newest flow."""
-    return od.agg(F.year(F.max("fecha")).alias("year"))
+def latest_year(od: DataFrame) -> int:
+    """The year of the newest flow."""
+    year = od.agg(F.year(F.max("fecha")).alias("year")).first().year
+    if year is None:
+        raise ValueError("no flows to take a year from")
+    return year
 
 
-def _attributes(zones: DataFrame, profile: DataFrame, year: int | Column | None) -> DataFrame:
+def _attributes(zones: DataFrame, profile: DataFrame, year: int | None) -> DataFrame:
     """Zone points with population and companies, NULL where the profile (of the year) lacks them."""
     if year is not None:
         profile = profile.where(F.col("year").cast("string").try_cast("int") == year)
@@ -61,15 +65,13 @@ def gravity_base(
     od: DataFrame,
     zones: DataFrame,
     profile: DataFrame,
-    year: int | Column | None = None,
+    year: int | None = None,
     symmetric: bool = False,
 ) -> DataFrame:
     """Trips of one year by zone pair with the unscaled expectation ``gravity_no_k``."""
-    if year is None:
-        year = latest_year(od).scalar()
+    year = latest_year(od) if year is None else year
     pairs = (
-        _oriented(od, symmetric)
-        .where(F.year("fecha") == year)
+        _oriented(between_days(od, "fecha", f"{year}-01-01", f"{year}-12-31"), symmetric)
         .groupBy(
             F.col("origen_zone_id").alias("origin_id"),
             F.col("destino_zone_id").alias("destination_id"),
@@ -105,21 +107,18 @@ def fit_gravity_k(base: DataFrame) -> DataFrame:
     return sums.withColumn("k", k).select("k", rmse.alias("rmse"), "pairs")
 
 
+def best_k(od: DataFrame, zones: DataFrame, profile: DataFrame, symmetric: bool = False) -> float:
+    """The scale factor fitted on the newest year."""
+    return fit_gravity_k(gravity_base(od, zones, profile, symmetric=symmetric)).first().k
+
+
 def gravity_mismatch(
-    od: DataFrame,
-    zones: DataFrame,
-    profile: DataFrame,
-    k: float | Column | None = None,
-    symmetric: bool = False,
+    od: DataFrame, zones: DataFrame, profile: DataFrame, k: float, symmetric: bool = False
 ) -> DataFrame:
     """Actual and expected trips by (origin, destination, date), and their ratio.
 
-    Without a k it is fitted on the newest year; it enters as a scalar subquery. Where nothing is
-    expected the ratio is NULL.
+    Where nothing is expected the ratio is NULL.
     """
-    if k is None:
-        k = fit_gravity_k(gravity_base(od, zones, profile, symmetric=symmetric)).select("k").scalar()
-    factor = k if isinstance(k, Column) else F.lit(k)
     daily = (
         _oriented(od, symmetric)
         .groupBy(
@@ -130,8 +129,13 @@ def gravity_mismatch(
         .agg(F.sum("viajes").alias("actual_trips"))
     )
     expected = _with_pull(daily, _attributes(zones, profile, None)).withColumn(
-        "estimated_trips", factor * F.col("pull")
+        "estimated_trips", F.lit(k) * F.col("pull")
     )
     return expected.drop("pull").withColumn(
         "mismatch_ratio", F.try_divide("actual_trips", "estimated_trips")
     )
+
+
+def gravity_model(od: DataFrame, zones: DataFrame, profile: DataFrame) -> DataFrame:
+    """Fit the scale factor, then compare every day's flows with the expectation."""
+    return gravity_mismatch(od, zones, profile, best_k(od, zones, profile))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowlake.functions.numeric import is_outlier, positive_ratio
 from flowlake.functions.temporal import add_hours, day_key, day_stamp, is_weekend, parse_day
 from flowlake.functions.text import EXTERNAL_ZONE
-from flowlake.operators.joins import lookup_join
+from flowlake.operators.joins import fits_broadcast, lookup_join
 
 
 def _wanted_days(df: DataFrame, column: str, days: list[str] | None) -> Column:
@@ -133,18 +133,21 @@ def od_quality(od: DataFrame, profile: DataFrame, days: list[str] | None = None)
     """Per-capita rates, negative flags and outliers of the hourly fact.
 
     The score compares with the mean and deviation over the whole fact, also when only some days
-    are asked for. They are one scalar subquery, so no row meets a join for them.
+    are asked for. Those two numbers are computed first and enter the plan as literals, so no row
+    meets a join for them and the second pass keeps its day predicate.
     """
     people = profile.select("id", F.col("poblacion_total").alias("people"))
-    measured = od.where(F.col("viajes").isNotNull() & F.col("viajes_km").isNotNull())
-    everything = lookup_join(measured, people, {"origen_zone_id": "id"}, "left")
+    small = fits_broadcast(people)
     per_capita = positive_ratio(F.col("viajes"), F.col("people"))
-    stats = everything.agg(
-        F.coalesce(F.avg(per_capita), F.lit(0.0)).alias("mean"),
-        F.coalesce(F.nullif(F.stddev_samp(per_capita), F.lit(0.0)), F.lit(1.0)).alias("sd"),
-    )
-    overall = stats.select(F.struct("mean", "sd")).scalar()
-    scored = everything.where(_wanted_days(od, "fecha", days)).select(
+
+    def enriched(rows: DataFrame) -> DataFrame:
+        measured = rows.where(F.col("viajes").isNotNull() & F.col("viajes_km").isNotNull())
+        return lookup_join(measured, people, {"origen_zone_id": "id"}, "left", small=small)
+
+    stats = enriched(od).agg(F.avg(per_capita).alias("mean"), F.stddev_samp(per_capita).alias("sd"))
+    overall = stats.first()
+    mean, deviation = overall.mean or 0.0, overall.sd or 1.0
+    scored = enriched(od.where(_wanted_days(od, "fecha", days))).select(
         "fecha",
         "origen_zone_id",
         "destino_zone_id",
@@ -153,7 +156,7 @@ def od_quality(od: DataFrame, profile: DataFrame, days: list[str] | None = None)
         positive_ratio(F.col("viajes_km"), F.col("people")).alias("km_per_capita"),
         (F.col("viajes") < 0).alias("flag_negative_viajes"),
         (F.col("viajes_km") < 0).alias("flag_negative_viajes_km"),
-        ((per_capita - overall["mean"]) / overall["sd"]).alias("z_viajes_per_capita"),
+        ((per_capita - F.lit(mean)) / F.lit(deviation)).alias("z_viajes_per_capita"),
     )
     return scored.withColumn(
         "flag_outlier_viajes_per_capita", is_outlier(F.col("z_viajes_per_capita"))

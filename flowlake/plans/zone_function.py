@@ -102,9 +102,8 @@ def label_zones(clustered: DataFrame) -> DataFrame:
     means = clustered.groupBy("cluster").agg(
         F.avg("avg_out_trips").alias("out"), F.avg("avg_in_trips").alias("in")
     )
-    residential = means.agg(
-        F.coalesce(F.min(F.when(F.col("out") > F.col("in"), F.col("cluster"))), F.lit(0)).alias("c")
-    ).scalar()
+    leaving = means.where(F.col("out") > F.col("in")).agg(F.min("cluster").alias("c")).first().c
+    residential = F.lit(leaving or 0)
     votes = majority(clustered, "zone_id", "cluster", "final_cluster")
     return votes.select(
         "zone_id",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowlake.functions.geo import centroid, distance_km, is_valid_geometry, parse_wkt
 from flowlake.functions.text import label_token, normalise_name
-from flowlake.operators.joins import lookup_join, present_rows, role_join
+from flowlake.operators.joins import role_join
 from flowlake.operators.picks import first_per_key
 
 INCOME_SERIES = "renta neta media por persona"
@@ -46,7 +46,8 @@ def zones(zone_raw: DataFrame, mapping: DataFrame) -> DataFrame:
     complete = zone_raw.where(
         F.col("ID").isNotNull() & F.col("Nombre").isNotNull() & F.col("geometry").isNotNull()
     ).select(F.col("ID").alias("id"), F.col("Nombre").alias("nombre"), F.col("geometry").alias("wkt"))
-    mapped = present_rows(complete, mapping, {"id": "municipio_mitma"}).distinct()
+    known = mapping.select(F.col("municipio_mitma").alias("id")).distinct()
+    mapped = complete.distinct().join(known, "id", "left_semi")
     parsed = mapped.select("id", "nombre", parse_wkt(F.col("wkt")).alias("geometry"))
     return parsed.withColumn("centroid", centroid(F.col("geometry")))
 
@@ -145,7 +146,7 @@ def companies(series: DataFrame, mapping: DataFrame, year: str) -> DataFrame:
         .groupBy("nombre")
         .agg(F.max(F.coalesce("valor", F.lit(0.0))).alias("valor"))
     )
-    joined = lookup_join(_zone_names(mapping), per_name, {"nombre": "nombre"}, "left")
+    joined = _zone_names(mapping).join(per_name, "nombre", "left")
     return joined.groupBy("zone_id").agg(
         F.coalesce(F.sum("valor"), F.lit(0.0)).alias("empresas"), F.lit(year).alias("year")
     )
@@ -165,7 +166,7 @@ def population(series: DataFrame, mapping: DataFrame, year: str) -> DataFrame:
         .groupBy("nombre")
         .agg(*[F.max(F.when(F.col("tipo") == k, value)).alias(out) for out, k in kinds.items()])
     )
-    joined = lookup_join(_zone_names(mapping), per_name, {"nombre": "nombre"}, "left")
+    joined = _zone_names(mapping).join(per_name, "nombre", "left")
     return joined.groupBy("zone_id").agg(
         *[F.coalesce(F.sum(out), F.lit(0.0)).alias(out) for out in kinds],
         F.lit(year).alias("year"),
@@ -183,7 +184,7 @@ def income(series: DataFrame, mapping: DataFrame, year: str) -> DataFrame:
     observed = _observations(series.where((tipo == INCOME_SERIES) & municipal), tipo.alias("tipo"))
     best = [F.col("valor").isNull(), -F.col("valor"), F.col("tipo").isNull(), F.col("tipo")]
     per_name = first_per_key(observed.select("nombre", "tipo", "valor"), ["nombre"], best)
-    joined = lookup_join(_zone_names(mapping), per_name, {"nombre": "nombre"}, "left")
+    joined = _zone_names(mapping).join(per_name, "nombre", "left")
     per_zone = first_per_key(joined.select("zone_id", "tipo", "valor"), ["zone_id"], best)
     return per_zone.groupBy("zone_id", "tipo").agg(
         F.coalesce(F.round(F.avg("valor"), 2), F.lit(0.0)).alias("renta_media"),
@@ -205,9 +206,8 @@ def zone_profile(
     profile = zones.select("id", "nombre")
     for indicator in (companies, income, population):
         columns = [c for c in indicator.columns if c in measures]
-        profile = lookup_join(
-            profile, indicator.select("zone_id", *columns), {"id": "zone_id"}, "left"
-        )
+        keyed = indicator.select(F.col("zone_id").alias("id"), *columns)
+        profile = profile.join(keyed, "id", "left")
     return profile.select(
         "id",
         "nombre",

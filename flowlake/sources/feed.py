@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from flowlake.operators.joins import lookup_join, present_rows
+from flowlake.operators.joins import lookup_join
 
 ZONE_TYPES = ("distritos", "municipios", "gau")
 
@@ -67,7 +67,7 @@ def od_files(
     if days is None:
         return found
     wanted = days.select(F.replace(F.col("fecha"), F.lit("-"), F.lit("")).alias("fecha"))
-    return present_rows(found, wanted, {"fecha": "fecha"})
+    return found.join(wanted.distinct(), "fecha", "left_semi").select("url", "fecha")
 
 
 def boundary_files(text: DataFrame, column: str, zone_type: str) -> DataFrame:
