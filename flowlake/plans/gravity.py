@@ -30,6 +30,9 @@ def _attributes(zones: DataFrame, profile: DataFrame, year: int | None) -> DataF
         F.col("poblacion_total").alias("population"),
         F.col("empresas").alias("activity"),
     )
+    repeated = indicators.groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        raise ValueError("the profile must hold one row per zone; filter it to one year")
     points = zones.select(
         "id", F.col("centroid")["lon"].alias("lon"), F.col("centroid")["lat"].alias("lat")
     )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from flowlake.functions.geo import centroid, distance_km, is_valid_geometry, parse_wkt
 from flowlake.functions.text import label_token, normalise_name
 from flowlake.operators.joins import role_join
-from flowlake.operators.picks import first_per_key
 
 INCOME_SERIES = "renta neta media por persona"
 
@@ -178,16 +177,22 @@ def income(series: DataFrame, mapping: DataFrame, year: str) -> DataFrame:
 
     The filters look at the label as published, accents included, not at the cleaned name.
     """
-    tipo = label_token(F.col("Nombre"), 3)
     label = F.col("Nombre")
     municipal = ~label.ilike("%sección%") & ~label.ilike("%distrito%")
-    observed = _observations(series.where((tipo == INCOME_SERIES) & municipal), tipo.alias("tipo"))
-    best = [F.col("valor").isNull(), -F.col("valor"), F.col("tipo").isNull(), F.col("tipo")]
-    per_name = first_per_key(observed.select("nombre", "tipo", "valor"), ["nombre"], best)
+    wanted = series.where((label_token(label, 3) == INCOME_SERIES) & municipal)
+    per_name = (
+        _observations(wanted)
+        .groupBy("nombre")
+        .agg(F.max("valor").alias("valor"), F.lit(True).alias("matched"))
+    )
     joined = _zone_names(mapping).join(per_name, "nombre", "left")
-    per_zone = first_per_key(joined.select("zone_id", "tipo", "valor"), ["zone_id"], best)
-    return per_zone.groupBy("zone_id", "tipo").agg(
-        F.coalesce(F.round(F.avg("valor"), 2), F.lit(0.0)).alias("renta_media"),
+    best = joined.groupBy("zone_id").agg(
+        F.max("valor").alias("valor"), F.bool_or(F.coalesce("matched", F.lit(False))).alias("matched")
+    )
+    return best.select(
+        "zone_id",
+        F.when(F.col("matched"), F.lit(INCOME_SERIES)).alias("tipo"),
+        F.coalesce(F.round("valor", 2), F.lit(0.0)).alias("renta_media"),
         F.lit(year).alias("year"),
     )
 
