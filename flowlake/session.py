@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -36,11 +37,15 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
     folder = tempfile.mkdtemp(prefix="flowlake-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 

@@ -7,12 +7,29 @@ from pyspark.sql import functions as F
 
 from flowlake.functions.temporal import date_parts, day_text_parts
 from flowlake.operators.incremental import PARTS, as_day
+from flowlake.operators.merge import insert_new_rows
 
 
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_new_rows(source: DataFrame, path: str) -> bool:
+    """Row-level de-duplicating load: append what the table at ``path`` does not hold yet.
+
+    The source is staged in the cache, as it is read for its keys and for its rows. An empty one
+    ends the load early; the result says whether there was anything to merge.
+    """
+    staged = source.persist()
+    try:
+        if staged.isEmpty():
+            return False
+        append(insert_new_rows(staged, source.sparkSession.read.parquet(path)), path)
+        return True
+    finally:
+        staged.unpersist()
+
+
 def replace(df: DataFrame, path: str) -> None:
     """Create or replace. The path must not be one the frame reads from."""
     df.write.mode("overwrite").parquet(path)

@@ -6,14 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from flowlake.operators.joins import lookup_join
-
 ZONE_TYPES = ("distritos", "municipios", "gau")
 
 # Shapes of the published file addresses, by zone type.
 OD_FILE = (
     r'(?i)(https?://[^\s"<>]*/estudios_basicos/por-{zone_type}/viajes/ficheros-diarios'
-    r"/\d{{4}}-\d{{2}}/(\d{{8}})_Viajes_{suffix}\.csv\.gz)"
+    r"/\d{{4}}-\d{{2}}/\d{{8}}_Viajes_{suffix}\.csv\.gz)"
 )
 SHAPE_FILE = (
     r'(?i)(https?://[^\s"<>]*/zonificacion/zonificacion_{suffix}/[^"<>]+\.(?:shp|shx|dbf|prj))'
@@ -57,13 +55,13 @@ def addresses(text: DataFrame, column: str, pattern: str) -> DataFrame:
 def od_files(
     text: DataFrame, column: str, zone_type: str, days: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct daily OD files (``url``, ``fecha``) named in the text, for the wanted days."""
-    pattern = F.lit(_pattern(OD_FILE, zone_type))
-    matches = F.arrays_zip(
-        F.regexp_extract_all(F.col(column), pattern, F.lit(1)).alias("url"),
-        F.regexp_extract_all(F.col(column), pattern, F.lit(2)).alias("fecha"),
+    """Distinct daily OD files (``url``, ``fecha``) named in the text, for the wanted days.
+
+    Each line is matched once; the day is cut out of the distinct addresses.
+    """
+    found = addresses(text, column, _pattern(OD_FILE, zone_type)).select(
+        "url", F.regexp_extract("url", r"/(\d{8})_[^/]*$", 1).alias("fecha")
     )
-    found = text.select(F.explode(matches).alias("m")).select("m.url", "m.fecha").distinct()
     if days is None:
         return found
     wanted = days.select(F.replace(F.col("fecha"), F.lit("-"), F.lit("")).alias("fecha"))
@@ -115,7 +113,7 @@ def url_batches(files: DataFrame, size: int, slot_rows: int = 10_000) -> DataFra
     A position is the files of earlier days, plus those of earlier hash slots of the day, plus
     the row number in the slot. Slots hold about ``slot_rows`` files, so a day with most of the
     files is numbered by many tasks. Running sums go over one row per slot, and one per calendar
-    day.
+    day. The joins are left to Spark, which reads the manifest once and reuses its exchange.
     """
     per_day = files.groupBy("fecha").agg(F.count("*").alias("in_day"))
     day_order = W.orderBy("fecha").rowsBetween(W.unboundedPreceding, -1)
@@ -125,20 +123,16 @@ def url_batches(files: DataFrame, size: int, slot_rows: int = 10_000) -> DataFra
         F.coalesce(F.sum("in_day").over(day_order), F.lit(0)).alias("day_start"),
     )
     slot = F.pmod(F.xxhash64("url"), F.col("slots"))
-    placed = lookup_join(files, day_start, {"fecha": "fecha"}).withColumn("slot", slot)
+    placed = files.join(day_start, "fecha").withColumn("slot", slot)
     slot_order = W.partitionBy("fecha").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
     slot_start = (
         placed.groupBy("fecha", "slot")
-        .agg(F.count("*").alias("in_slot"))
+        .agg(F.count("*").alias("n"))
         .select(
-            "fecha",
-            "slot",
-            F.coalesce(F.sum("in_slot").over(slot_order), F.lit(0)).alias("slot_start"),
+            "fecha", "slot", F.coalesce(F.sum("n").over(slot_order), F.lit(0)).alias("slot_start")
         )
     )
     in_slot = F.row_number().over(W.partitionBy("fecha", "slot").orderBy("url"))
-    numbered = lookup_join(
-        placed.withColumn("in_slot", in_slot), slot_start, {"fecha": "fecha", "slot": "slot"}
-    )
+    numbered = placed.withColumn("in_slot", in_slot).join(slot_start, ["fecha", "slot"])
     position = F.col("day_start") + F.col("slot_start") + F.col("in_slot") - 1
     return numbered.select("url", "fecha", F.floor(position / size).alias("batch_index"))

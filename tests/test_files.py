@@ -186,6 +186,34 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got.select("source_file").distinct().count() == 2
 
 
+def test_row_level_load_is_repeatable(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = spark.createDataFrame([("a", None), ("b", "1")], "k string, v string")
+    first = rows_.withColumn("loaded_at", F.current_timestamp())
+    tables.append(first.limit(1), path)
+    for _ in range(2):
+        assert tables.append_new_rows(first, path)
+        assert spark.read.parquet(path).count() == 2
+    assert not tables.append_new_rows(first.limit(0), path)
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session(spark_master="yarn"))
+    local = Session(spark_master="local[2]")
+    assert shared_dir(local) == shared_dir(local)
+    named = Session(spark_master="yarn", **{"spark_checkpoint_dir": "s3a://b/c/"})
+    assert shared_dir(named) == "s3a://b/c"
+
+
 def test_scratch_paths_live_in_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")

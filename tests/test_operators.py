@@ -27,6 +27,33 @@ def test_lookup_join_is_the_same_either_way(spark, how):
     assert small.count() == kept[how]
 
 
+def test_hot_key_is_split_when_the_keyed_side_is_large(spark):
+    """A third of the rows on one key: the shuffled join runs with a skew split."""
+    left = spark.range(400_000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    right = spark.range(0, 400_000, 2).select(F.col("id").alias("key"), F.lit("x").alias("w"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2MB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            joined = joins.lookup_join(left, right, {"k": "key"}, how, small=False)
+            counted = joined.groupBy(F.col("k") % 5).agg(F.max("v"), F.count("*"))
+            counted.collect()
+            assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_broadcast_needs_a_counted_size(spark):
     assert joins.fits_broadcast(spark.range(10), 10)
     assert not joins.fits_broadcast(spark.range(11), 10)

@@ -18,6 +18,21 @@ TABLES = (
 ).split()
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+#: What no registered plan may hold.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "InPandas")
+
+
 def canonical(value):
     if isinstance(value, float):
         return None if math.isnan(value) else value + 0.0
@@ -46,6 +61,10 @@ def compare(spark: SparkSession, sf_dir: str, names=None):
             yield name, f"FAILED {str(error)[:600]}", 0, time.time() - start
             continue
         seconds = time.time() - start
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        if held := [operator for operator in FORBIDDEN if operator in plan]:
+            yield name, f"PLAN {held}", len(got), seconds
+            continue
         if name not in oracle:
             yield name, "rows only", len(got), seconds
             continue
@@ -55,7 +74,9 @@ def compare(spark: SparkSession, sf_dir: str, names=None):
         if sorted(columns) != sorted(df.columns):
             verdict = f"COLUMNS {sorted(df.columns)} {sorted(columns)}"
         elif got == want:
-            verdict = "ok"
+            described = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle[name]}").fetchall()}
+            types = [(c, t, described[c]) for c, t in df.dtypes if TYPES.get(t) != described[c]]
+            verdict = f"TYPES {types}" if types else "ok"
         else:
             differing = [p for p in zip(got, want) if p[0] != p[1]][:3]
             verdict = f"DIFFERS {len(got)} {len(want)} {differing}"
@@ -67,6 +88,7 @@ if __name__ == "__main__":
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
