@@ -33,9 +33,12 @@ def lookup_join(
     session settings force that even if it costs another shuffle later).
     """
     renamed = {right: f"__key_{i}" for i, right in enumerate(on.values())}
+    values = [c for c in keyed.columns if c not in renamed]
+    if clash := sorted(set(values) & set(rows.columns)):
+        raise ValueError(f"both sides have {clash}; rename them in the keyed side")
     right = keyed.select(
         *[F.col(c).alias(renamed[c]) for c in renamed],
-        *[c for c in keyed.columns if c not in renamed],
+        *values,
     )
     if fits_broadcast(right) if small is None else small:
         right = F.broadcast(right)

@@ -81,10 +81,12 @@ class Views:
         )
 
     def holiday_raw(self) -> DataFrame:
-        days = [("2024-01-01", True), ("2024-01-06", True), ("2024-01-22", False)]
-        rows = [(day, [(f"Holiday {day}",)], nationwide) for day, nationwide in days]
-        schema = "startDate string, name array<struct<text:string>>, nationwide boolean"
-        return self.spark.createDataFrame(rows, schema)
+        return self.spark.sql(
+            """SELECT day AS startDate, array(named_struct('text', 'Holiday ' || day)) AS name,
+                 nationwide
+               FROM VALUES ('2024-01-01', true), ('2024-01-06', true), ('2024-01-22', false)
+                 AS t(day, nationwide)"""
+        )
 
     def holiday(self) -> DataFrame:
         return holidays(self.holiday_raw())
@@ -119,7 +121,7 @@ class Views:
             .groupBy(F.col("s_nationkey").cast("string").alias("zone_id"))
             .agg(F.count("*").cast("double").alias("empresas"))
         )
-        income = customers.agg(F.round(F.avg("c_acctbal"), 2).alias("renta_media"))
+        income = customers.agg(F.max("c_acctbal").alias("renta_media"))
         population = customers.agg(
             people.alias("poblacion_total"),
             men.alias("poblacion_hombres"),
