@@ -12,6 +12,9 @@ from flowlake.functions.temporal import day_of_week, weekday_name
 from flowlake.operators.joins import lookup_join
 from flowlake.operators.picks import majority
 
+#: Rhythm rows a fitting task takes.
+ROWS_PER_TASK = 50_000
+
 FEATURES = ["avg_out_trips", "avg_in_trips", "dow", "hour", "is_weekend", "diff_out_in"]
 
 
@@ -73,7 +76,7 @@ def rhythm_clusters(rhythm: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
     """Assign a cluster to each row: mean imputation, standard scaling, k-means.
 
     The rhythm has at most 168 rows per zone. It is cached while the model is fitted, as each
-    iteration reads it.
+    iteration reads it, in partitions that follow its own size and not the shuffle before it.
     """
     rows = rhythm_features(rhythm)
     for name in FEATURES:
@@ -87,7 +90,8 @@ def rhythm_clusters(rhythm: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
     ]
     training = rows.persist()
     try:
-        model = Pipeline(stages=stages).fit(training)
+        tasks = training.count() // ROWS_PER_TASK + 1
+        model = Pipeline(stages=stages).fit(training.coalesce(tasks))
     finally:
         training.unpersist()
     return model.transform(rows).drop("raw", "scaled", *inputs)
