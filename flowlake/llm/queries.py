@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from flowlake.llm.chat import format_chats, read_loss, read_turns, text_part
 from flowlake.llm.decontam import contamination
 from flowlake.llm.hmm import score_texts
+from flowlake.llm.jaccard import jaccard_classes
+from flowlake.llm.langid import fit_languages, identify
 from flowlake.llm.mixing import mix_sources
 from flowlake.llm.substrings import substring_dedup
+from flowlake.llm.token_counts import token_counts
 from flowlake.llm.token_files import read_token_files, write_token_files
+from flowlake.llm.vectors import near_vectors
 from flowlake.session import scratch_path
 
 
@@ -39,11 +43,25 @@ def op1_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", domain_column().alias("domain"), "lang", "source", "mix_tokens", "mix_copies", "mix_prefix")
 
 
+def op2_language_id(spark, sf_dir):
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(4) == 2
+    found = identify(docs, fit_languages(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected", "cross_entropy")
+
+
+def op3_near_vectors(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_substring_dedup(spark, sf_dir):
     done = substring_dedup(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 def remainder(count: int):
     """crc32 of the document id as text, modulo ``count``."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % count
@@ -67,6 +85,10 @@ def op7_chat_format(spark, sf_dir):
     )
 
 
+def op8_token_counts(spark, sf_dir):
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), ["source", "text"])
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -86,9 +108,13 @@ def op10_token_files(spark, sf_dir):
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_language_id": op2_language_id,
+    "op3_near_vectors": op3_near_vectors,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_hmm_score": op6_hmm_score,
     "op7_chat_format": op7_chat_format,
+    "op8_token_counts": op8_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_files": op10_token_files,
 }
@@ -194,4 +220,28 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(12 + r + 1 + x + 11) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
     "op1_mix_sources": mix_sql(),
+    "op3_near_vectors": """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(id, other) AS (SELECT a, b FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+       least(vec_id, coalesce((SELECT min(other) FROM reach WHERE id = vec_id), vec_id)) AS component_id,
+       vec_id <= coalesce((SELECT min(other) FROM reach WHERE id = vec_id), vec_id) AS kept
+FROM embeddings""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE lists AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+    FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+       FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM lists WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS k FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.k + y.k - c)),
+reach(id, other) AS (SELECT a, b FROM links UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+least_of AS (SELECT id, min(other) AS m FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(k, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of ON least_of.id = d.doc_id""",
 }

@@ -6,10 +6,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 PIECE_BYTES = 4 << 20
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand tasks Arrow batches of bounded bytes, whatever the length of the texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with about ``limit`` bytes of text each; one long text is a slice of its own."""
     for batch in batches:
