@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Upper ends of the service bands, and the order of the bands.
+# The order of the service bands, and their upper ends. The first two ends are outside
+# their band, the others inside.
 SERVICE_CLASSES = ("very_low", "low", "balanced", "high", "very_high")
+SERVICE_LIMITS = (0.25, 0.75, 1.25, 2.5)
 
 
 def positive_ratio(numerator: Column, denominator: Column) -> Column:
@@ -20,12 +22,14 @@ def is_outlier(z: Column, limit: float = 3.0) -> Column:
 
 def service_class(ratio: Column) -> Column:
     """Five ordered bands of actual over expected trips; a missing ratio has no band."""
+    very_low, low, balanced, high, very_high = SERVICE_CLASSES
+    ends = SERVICE_LIMITS
     return (
-        F.when(ratio < 0.25, "very_low")
-        .when(ratio < 0.75, "low")
-        .when(ratio <= 1.25, "balanced")
-        .when(ratio <= 2.5, "high")
-        .when(ratio > 2.5, "very_high")
+        F.when(ratio < ends[0], very_low)
+        .when(ratio < ends[1], low)
+        .when(ratio <= ends[2], balanced)
+        .when(ratio <= ends[3], high)
+        .when(ratio > ends[3], very_high)
     )
 
 

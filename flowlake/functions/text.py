@@ -13,19 +13,20 @@ EXTERNAL_ZONE = "externo"
 
 @cache
 def _accent_table() -> tuple[str, str]:
-    """Characters to replace and their bases, from Unicode decomposition (Latin blocks).
+    """Characters to replace and their bases, from Unicode decomposition of every code point.
 
     The combining marks come last: ``translate`` deletes what has no counterpart.
     """
     accented, plain = [], []
-    for block in (range(0x00C0, 0x0250), range(0x1E00, 0x1F00)):
-        for char in map(chr, block):
-            base = "".join(
-                c for c in unicodedata.normalize("NFD", char) if not unicodedata.combining(c)
-            )
-            if len(base) == 1 and base != char:
-                accented.append(char)
-                plain.append(base)
+    for char in map(chr, range(0x00C0, 0x10000)):
+        if not unicodedata.decomposition(char) or unicodedata.decomposition(char).startswith("<"):
+            continue
+        base = "".join(
+            c for c in unicodedata.normalize("NFD", char) if not unicodedata.combining(c)
+        )
+        if len(base) == 1 and base != char:
+            accented.append(char)
+            plain.append(base)
     marks = [chr(code) for code in range(0x0300, 0x0370)]
     return "".join(accented + marks), "".join(plain)
 

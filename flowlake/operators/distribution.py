@@ -57,8 +57,8 @@ def histogram(df: DataFrame, column: str, bins: int = 50, upper: float | None =
 def density(df: DataFrame, column: str, bins: int = 50, upper: float | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid, in the count units of the histogram.
 
-    Scott bandwidth ``sd · n^(-1/5)``; no curve for values without spread. Each value adds to
-    every grid point, and the sums combine inside each task, so what is shuffled is one row per
+    Scott bandwidth ``sd · n^(-1/5)``; no curve for values without spread. Equal values collapse
+    into counts; each distinct one adds to every grid point, and the sums combine inside each task, so what is shuffled is one row per
     grid point and task.
     """
     values = _values(df, column, upper)
@@ -71,9 +71,11 @@ def density(df: DataFrame, column: str, bins: int = 50, upper: float | None = No
     x = F.lit(bounds.lo) + F.lit(span) * F.col("point") / last
     distance = (x - F.col("v")) / F.lit(bandwidth)
     return (
-        values.select("v", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
+        values.groupBy("v")
+        .agg(F.count("*").alias("n"))
+        .select("v", "n", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("point"))
         .groupBy("point")
-        .agg((F.sum(F.exp(-0.5 * distance * distance)) * F.lit(scale)).alias("density"))
+        .agg((F.sum(F.col("n") * F.exp(-0.5 * distance * distance)) * F.lit(scale)).alias("density"))
         .select("point", x.alias("x"), "density")
     )
 

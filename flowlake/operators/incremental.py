@@ -105,12 +105,35 @@ def needs_rebuild(profile: DataFrame | None, name_map: DataFrame, year: str | No
     return not coverage_gap(profile, name_map, year).isEmpty()
 
 
-def mark_processed(processed: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows to append to a processed-day log (column ``fecha``), with the time of processing."""
-    fresh = days.select("fecha").distinct().join(processed.select("fecha").distinct(), "fecha", "left_anti")
+def mark_processed(processed: DataFrame | None, days: DataFrame) -> DataFrame:
+    """Rows to append to a processed-day log, with the time of processing.
+
+    A day is its ``fecha`` and, where both have it, its ``state``: a day in a new state is new.
+    """
+    keys = [c for c in ("fecha", "state") if c in days.columns and (processed is None or c in processed.columns)]
+    fresh = days.select(*keys).distinct()
+    if processed is not None:
+        fresh = fresh.join(processed.select(*keys).distinct(), keys, "left_anti")
     return fresh.withColumn("processed_at", F.current_timestamp())
 
 
+def day_states(source: DataFrame, column: str) -> DataFrame:
+    """(fecha, state) of every day of a source: the state changes with any row that comes or goes.
+
+    With provenance it is made of the row count and the files, else of whole rows.
+    """
+    content = ["source_file"] if "source_file" in source.columns else [c for c in source.columns if c not in PARTS]
+    mark = F.pmod(F.xxhash64(*content), F.lit(1 << 31))
+    return source.groupBy(day_key(as_day(source, column)).alias("fecha")).agg(
+        F.concat_ws(":", F.count("*"), F.sum(mark)).alias("state")
+    ).where("fecha is not null")
+
+
+def last_states(log: DataFrame) -> DataFrame:
+    """The newest state of every day of a processed-day log."""
+    return log.groupBy("fecha").agg(F.max_by("state", "processed_at").alias("state"))
+
+
 def between_days(table: DataFrame, column: str, start: str, end: str) -> DataFrame:
     """Rows of a closed day range, with a predicate on the partition columns where they exist."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")

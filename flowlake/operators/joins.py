@@ -1,4 +1,4 @@
-"""Joins against keyed tables, with the broadcast decided by a measured size."""
+"""Joins against keyed tables, planned from sizes in bytes."""
 
 from __future__ import annotations
 
@@ -7,14 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A side is broadcast only when it was counted to have at most this many rows.
-BROADCAST_ROWS = 100_000
-
-
-def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; the count stops one row later."""
-    return table.limit(max_rows + 1).count() <= max_rows
-
 
 def lookup_join(
     rows: DataFrame,
@@ -22,15 +14,15 @@ def lookup_join(
     on: dict[str, str],
     how: str = "inner",
     *,
-    small: bool | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``keyed``, a table with at most one row per key.
 
-    ``on`` maps a column of ``rows`` to a column of ``keyed``; the latter is not in the result.
-    A keyed side that fits is broadcast, so the rows stay where they are however skewed they
-    are. A larger one is joined by shuffle, where AQE splits the partitions of hot keys (the
-    session settings force that even if it costs another shuffle later).
+    ``on`` maps a column of ``rows`` to a column of ``keyed``; the latter is not in the result. No
+    side is forced: Spark broadcasts one whose bytes, by the optimizer or as AQE measures them, stay
+    below its threshold, and shuffles otherwise, where AQE splits the partitions of hot keys (the
+    session settings force that even if it costs another shuffle later). Nothing runs while the plan
+    is built.
     """
     renamed = {right: f"__key_{i}" for i, right in enumerate(on.values())}
     values = [c for c in keyed.columns if c not in renamed]
@@ -40,8 +32,6 @@ def lookup_join(
         *[F.col(c).alias(renamed[c]) for c in renamed],
         *values,
     )
-    if fits_broadcast(right) if small is None else small:
-        right = F.broadcast(right)
     terms = [
         F.col(a).eqNullSafe(F.col(renamed[b])) if null_safe else F.col(a) == F.col(renamed[b])
         for a, b in on.items()
@@ -49,41 +39,17 @@ def lookup_join(
     return rows.join(right, reduce(lambda x, y: x & y, terms), how).drop(*renamed.values())
 
 
-def matching_keys(
-    source: DataFrame, target: DataFrame, on: dict[str, str], *, null_safe: bool = False
-) -> tuple[DataFrame, bool]:
-    """Distinct source keys that occur in the target, and whether they fit a broadcast.
-
-    When the source keys fit, the target is filtered in place without a shuffle, which is the
-    usual case of a daily batch against the whole table.
-    """
-    keys = source.select(*on).distinct()
-    small = fits_broadcast(keys)
-    found = lookup_join(
-        target.select(*[F.col(t).alias(s) for s, t in on.items()]),
-        keys,
-        {s: s for s in on},
-        "left_semi",
-        small=small,
-        null_safe=null_safe,
-    )
-    return found.distinct(), small
-
-
 def missing_rows(
     source: DataFrame, target: DataFrame, on: dict[str, str], *, null_safe: bool = False
 ) -> DataFrame:
-    """Source rows whose key does not occur in the target (anti join)."""
-    known, small = matching_keys(source, target, on, null_safe=null_safe)
-    return lookup_join(
-        source, known, {s: s for s in on}, "left_anti", small=small, null_safe=null_safe
-    )
+    """Source rows whose key does not occur in the target (anti join); each side is read once."""
+    keys = target.select(*on.values()).distinct()
+    return lookup_join(source, keys, on, "left_anti", null_safe=null_safe)
 
 
 def present_rows(source: DataFrame, target: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Source rows whose key occurs in the target (semi join)."""
-    known, small = matching_keys(source, target, on)
-    return lookup_join(source, known, {s: s for s in on}, "left_semi", small=small)
+    """Source rows whose key occurs in the target (semi join); each side is read once."""
+    return lookup_join(source, target.select(*on.values()).distinct(), on, "left_semi")
 
 
 def role_join(
@@ -91,13 +57,11 @@ def role_join(
 ) -> DataFrame:
     """Join one dimension in several roles.
 
-    ``columns`` maps a flow column (the role) to {dimension column: output name}. The size of
-    the dimension is measured once for all roles.
+    ``columns`` maps a flow column (the role) to {dimension column: output name}.
     """
-    small = fits_broadcast(zones)
     for role, names in columns.items():
         side = zones.select(
             F.col(key).alias("__role"), *[F.col(c).alias(out) for c, out in names.items()]
         )
-        flows = lookup_join(flows, side, {role: "__role"}, small=small)
+        flows = lookup_join(flows, side, {role: "__role"})
     return flows

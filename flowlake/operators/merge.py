@@ -24,8 +24,7 @@ def insert_only(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFr
 def upsert(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """New content of the target: matched rows replaced, others kept, new ones added.
 
-    The keys of the source, usually a batch, are the measured side. Write the result to a new
-    path: plain files can not be overwritten while they are read.
+    Write the result to a new path: plain files can not be overwritten while they are read.
     """
     incoming = source.select(*keys).distinct()
     kept = lookup_join(target, incoming, {k: k for k in keys}, "left_anti")

@@ -33,6 +33,10 @@ def top(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def random_rows(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
-    """Exactly n rows (or all, if fewer) in random order: a per-task top-n on a random key."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_rows(df: DataFrame, n: int, keys: list[str], seed: int = 0) -> DataFrame:
+    """Exactly n rows (or all, if fewer): those of the smallest hash of the seed and the key columns.
+
+    The same rows come out however the frame is partitioned; each task keeps its own n.
+    """
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    return df.orderBy(F.md5(key.cast("binary")), *keys).limit(n)

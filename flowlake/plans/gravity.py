@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.geo import distance_km
 from flowlake.operators.incremental import between_days
 from flowlake.operators.joins import role_join
+from flowlake.plans.od import wanted_days
+from flowlake.sinks.tables import stored
 
 # The grid on which the scale factor is chosen.
 K_LOW, K_HIGH, K_POINTS = 10e-5, 1.0, 5000
 
 
-def latest_year(od: DataFrame) -> int:
+def latest_year(od: DataFrame, column: str = "fecha") -> int:
     """The year of the newest flow; a table with a year partition answers without a data scan."""
-    newest = F.max("year") if "year" in od.columns else F.year(F.max("fecha"))
+    newest = F.max("year") if "year" in od.columns else F.year(F.max(column))
     year = od.agg(newest.alias("year")).first().year
     if year is None:
         raise ValueError("no flows to take a year from")
@@ -40,10 +44,23 @@ def _attributes(zones: DataFrame, profile: DataFrame, year: int | None) -> DataF
     return points.join(indicators, "id", "left")
 
 
-def _oriented(od: DataFrame, symmetric: bool) -> DataFrame:
-    """Flows that have a distance: origin before destination, or any two zones if symmetric."""
-    o, d = F.col("origen_zone_id"), F.col("destino_zone_id")
-    return od.where(o != d if symmetric else o < d)
+def daily_pairs(od: DataFrame, days: list[str] | None = None) -> DataFrame:
+    """Trips by (origin, destination, date): all the model reads of the fact."""
+    return (
+        od.where(wanted_days(od, "fecha", days))
+        .groupBy(
+            F.col("origen_zone_id").alias("origin_id"),
+            F.col("destino_zone_id").alias("destination_id"),
+            F.to_date("fecha").alias("date"),
+        )
+        .agg(F.sum("viajes").alias("actual_trips"))
+    )
+
+
+def _oriented(daily: DataFrame, symmetric: bool) -> DataFrame:
+    """Pairs that have a distance: origin before destination, or any two zones if symmetric."""
+    o, d = F.col("origin_id"), F.col("destination_id")
+    return daily.where(o != d if symmetric else o < d)
 
 
 def _with_pull(pairs: DataFrame, attributes: DataFrame) -> DataFrame:
@@ -74,13 +91,18 @@ def gravity_base(
 ) -> DataFrame:
     """Trips of one year by zone pair with the unscaled expectation ``gravity_no_k``."""
     year = latest_year(od) if year is None else year
+    of_year = between_days(od, "fecha", f"{year}-01-01", f"{year}-12-31")
+    return gravity_base_of(daily_pairs(of_year), zones, profile, year, symmetric)
+
+
+def gravity_base_of(
+    daily: DataFrame, zones: DataFrame, profile: DataFrame, year: int, symmetric: bool = False
+) -> DataFrame:
+    """The same from daily pair totals."""
     pairs = (
-        _oriented(between_days(od, "fecha", f"{year}-01-01", f"{year}-12-31"), symmetric)
-        .groupBy(
-            F.col("origen_zone_id").alias("origin_id"),
-            F.col("destino_zone_id").alias("destination_id"),
-        )
-        .agg(F.sum("viajes").alias("actual_trips"))
+        _oriented(between_days(daily, "date", f"{year}-01-01", f"{year}-12-31"), symmetric)
+        .groupBy("origin_id", "destination_id")
+        .agg(F.sum("actual_trips").alias("actual_trips"))
     )
     return _with_pull(pairs, _attributes(zones, profile, year)).withColumnRenamed(
         "pull", "gravity_no_k"
@@ -91,24 +113,19 @@ def fit_gravity_k(base: DataFrame) -> DataFrame:
     """One row: the grid value of k with the smallest root mean square error, and that error.
 
     The squared error is a parabola in k with its vertex at Σ(a·g) / Σ(g²), so its minimum on the
-    grid is the grid point nearest the vertex: one aggregate instead of a scan per grid point.
-    Pairs without an expectation take no part.
+    grid is the grid point nearest the vertex: one aggregate instead of a scan per grid point. A
+    second aggregate over the pairs gives the error itself, which those sums would cancel. Pairs
+    without an expectation take no part.
     """
     a, g = F.col("actual_trips"), F.col("gravity_no_k")
-    sums = base.where(g.isNotNull()).agg(
-        F.sum(a * a).alias("aa"),
-        F.sum(a * g).alias("ag"),
-        F.sum(g * g).alias("gg"),
-        F.count("*").alias("pairs"),
-    )
+    expected = base.where(g.isNotNull())
+    sums = expected.agg(F.sum(a * g).alias("ag"), F.sum(g * g).alias("gg")).first()
+    vertex = sums.ag / sums.gg if sums.ag is not None and sums.gg else K_LOW
     step = (K_HIGH - K_LOW) / (K_POINTS - 1)
-    offset = (F.try_divide(F.col("ag"), F.col("gg")) - K_LOW) / step
-    index = F.coalesce(F.ceil(F.greatest(offset, F.lit(-1.0)).cast("double") - 0.5), F.lit(0))
-    clamped = F.least(F.greatest(index, F.lit(0)), F.lit(K_POINTS - 1))
-    k = F.lit(K_LOW) + clamped * F.lit(step)
-    error = F.col("aa") - 2 * F.col("k") * F.col("ag") + F.pow("k", F.lit(2.0)) * F.col("gg")
-    rmse = F.sqrt(F.greatest(F.try_divide(error, F.col("pairs")), F.lit(0.0)))
-    return sums.withColumn("k", k).select("k", rmse.alias("rmse"), "pairs")
+    index = min(max(math.ceil((vertex - K_LOW) / step - 0.5), 0), K_POINTS - 1)
+    k = F.lit(K_LOW + index * step)
+    rmse = F.sqrt(F.avg(F.pow(a - k * g, F.lit(2.0))))
+    return expected.agg(k.alias("k"), rmse.alias("rmse"), F.count("*").alias("pairs"))
 
 
 def best_k(od: DataFrame, zones: DataFrame, profile: DataFrame, symmetric: bool = False) -> float:
@@ -123,16 +140,15 @@ def gravity_mismatch(
 
     Where nothing is expected the ratio is NULL.
     """
-    daily = (
-        _oriented(od, symmetric)
-        .groupBy(
-            F.col("origen_zone_id").alias("origin_id"),
-            F.col("destino_zone_id").alias("destination_id"),
-            F.to_date("fecha").alias("date"),
-        )
-        .agg(F.sum("viajes").alias("actual_trips"))
-    )
-    expected = _with_pull(daily, _attributes(zones, profile, None)).withColumn(
+    return gravity_mismatch_of(daily_pairs(od), zones, profile, k, symmetric)
+
+
+def gravity_mismatch_of(
+    daily: DataFrame, zones: DataFrame, profile: DataFrame, k: float, symmetric: bool = False
+) -> DataFrame:
+    """The same from daily pair totals."""
+    placed = _with_pull(_oriented(daily, symmetric), _attributes(zones, profile, None))
+    expected = placed.withColumn(
         "estimated_trips", F.lit(k) * F.col("pull")
     )
     return expected.drop("pull").withColumn(
@@ -140,6 +156,15 @@ def gravity_mismatch(
     )
 
 
-def gravity_model(od: DataFrame, zones: DataFrame, profile: DataFrame) -> DataFrame:
-    """Fit the scale factor, then compare every day's flows with the expectation."""
-    return gravity_mismatch(od, zones, profile, best_k(od, zones, profile))
+def gravity_model(
+    od: DataFrame, zones: DataFrame, profile: DataFrame, daily: DataFrame | None = None, year: int | None = None
+) -> DataFrame:
+    """Fit the scale factor on the newest year, then compare every day's flows with the expectation.
+
+    The fact is read once, for its daily pair totals, which are written; ``daily`` gives them where
+    they exist already.
+    """
+    daily = stored(daily_pairs(od), "daily-pairs") if daily is None else daily
+    year = latest_year(daily, "date") if year is None else year
+    k = fit_gravity_k(gravity_base_of(daily, zones, profile, year)).first().k
+    return gravity_mismatch_of(daily, zones, profile, k)

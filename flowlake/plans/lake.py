@@ -1,4 +1,4 @@
-"""Daily tables kept up to date: each run adds the days its source has and the table lacks."""
+"""Daily tables kept up to date: each run builds the days whose source is new or has changed."""
 
 from __future__ import annotations
 
@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowlake.operators.incremental import pending_days, present_days
-from flowlake.plans.od import od_hourly, od_quality, typical_day
-from flowlake.sinks.tables import write_days
+from flowlake.operators.incremental import day_states, last_states, mark_processed, needs_rebuild
+from flowlake.plans.gravity import daily_pairs, fit_gravity_k, gravity_base_of, gravity_mismatch_of, latest_year
+from flowlake.plans.od import day_moments, od_hourly, od_quality, typical_day
+from flowlake.plans.zone_function import zone_function
+from flowlake.sinks.tables import append, replace, write_days
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -22,6 +25,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def log_path(path: str) -> str:
+    """The processed-day log beside a daily table."""
+    return path.rstrip("/") + "_log"
+
+
 def refresh_days(
     source: DataFrame,
     build: Callable[[list[str]], DataFrame],
@@ -29,19 +37,30 @@ def refresh_days(
     column: str,
     start: str | None = None,
     end: str | None = None,
+    parent: str | None = None,
 ) -> list[str]:
-    """Build and write the pending days of a daily table; returns them.
+    """Build and write the days whose source state the log does not hold; returns them.
 
-    Only the list of days comes to the driver, one entry per calendar day. They are written in
-    one job: the partitions of the scan are the unit of parallel work, so there is no need to cut
-    the list into batches. A run that is repeated replaces its own days.
+    A late row, or another file for a day, changes the day's state, and the whole day is written
+    anew. A day without valid rows is logged like others, so it is not built again. ``parent`` is the
+    daily table that ``source`` reads: its log then gives the states without a look at the rows. A
+    run that breaks off before it logs its days repeats them. Only the list of days comes to the
+    driver, one entry per calendar day.
     """
-    table = read_table(source.sparkSession, path)
-    done = None if table is None else present_days(table, column)
-    pending = pending_days(present_days(source, "fecha"), done, start, end)
-    days = sorted(row.fecha for row in pending.collect())
+    spark = source.sparkSession
+    upstream = None if parent is None else read_table(spark, log_path(parent))
+    states = day_states(source, "fecha") if upstream is None else last_states(upstream)
+    if start and end:
+        day = F.to_date("fecha", "yyyyMMdd")
+        states = states.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    log = read_table(spark, log_path(path))
+    fresh = mark_processed(None if log is None else last_states(log), states)
+    rows = sorted(tuple(r) for r in fresh.select("fecha", "state").collect())
+    days = [day for day, _ in rows]
     if days:
         write_days(build(days), path, column)
+        seen = spark.createDataFrame(rows, "fecha string, state string")
+        append(seen.withColumn("processed_at", F.current_timestamp()).coalesce(1), log_path(path))
     return days
 
 
@@ -53,10 +72,48 @@ def refresh_od(
     )
 
 
-def refresh_quality(od: DataFrame, profile: DataFrame, path: str) -> list[str]:
-    """New days are scored against all flows present now; older days keep their scores."""
-    return refresh_days(od, lambda days: od_quality(od, profile, days), path, "fecha")
+def refresh_quality(od: DataFrame, profile: DataFrame, path: str, parent: str | None = None) -> list[str]:
+    """New days are scored against all flows present now; older days keep their scores.
+
+    The scale comes from a table of moments beside the scores, so a run reads its own days of the fact
+    and that table.
+    """
+    moments = path.rstrip("/") + "_moments"
+    refresh_days(od, lambda days: day_moments(od, days), moments, "date", parent=parent)
+
+    def scored(days: list[str]) -> DataFrame:
+        return od_quality(od, profile, days, od.sparkSession.read.parquet(moments))
+
+    return refresh_days(od, scored, path, "fecha", parent=parent)
+
+
+def refresh_typical_day(od: DataFrame, path: str, parent: str | None = None) -> list[str]:
+    return refresh_days(od, lambda days: typical_day(od, days), path, "date", parent=parent)
+
+
+def refresh_gravity(
+    od: DataFrame, zones: DataFrame, profile: DataFrame, path: str, parent: str | None = None
+) -> list[str]:
+    """Daily pair totals for the changed days, then the whole mismatch with the k they give now."""
+    pairs = path.rstrip("/") + "_pairs"
+    days = refresh_days(od, lambda days: daily_pairs(od, days), pairs, "date", parent=parent)
+    if days:
+        daily = od.sparkSession.read.parquet(pairs).drop("year", "month", "day")
+        year = latest_year(daily, "date")
+        k = fit_gravity_k(gravity_base_of(daily, zones, profile, year)).first().k
+        write_days(gravity_mismatch_of(daily, zones, profile, k), path, "date")
+    return days
+
+
+def refresh_zone_function(od: DataFrame, path: str) -> None:
+    replace(zone_function(od), path)
 
 
-def refresh_typical_day(od: DataFrame, path: str) -> list[str]:
-    return refresh_days(od, lambda days: typical_day(od, days), path, "date")
+def refresh_profile(
+    build: Callable[[], DataFrame], name_map: DataFrame, path: str, spark: SparkSession, year: str | None
+) -> bool:
+    """Build the profile again when its year lacks rows or zones; says whether it did."""
+    if not needs_rebuild(read_table(spark, path), name_map, year):
+        return False
+    replace(build(), path)
+    return True

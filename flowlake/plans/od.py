@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.numeric import is_outlier, positive_ratio
 from flowlake.functions.temporal import add_hours, day_key, day_stamp, is_weekend, parse_day
 from flowlake.functions.text import EXTERNAL_ZONE
-from flowlake.operators.joins import fits_broadcast, lookup_join
+from flowlake.operators.incremental import PARTS
+from flowlake.operators.joins import lookup_join
 
 
-def _wanted_days(df: DataFrame, column: str, days: list[str] | None) -> Column:
-    """Predicate for a list of ``yyyyMMdd`` days that can reach the scan."""
+def wanted_days(df: DataFrame, column: str, days: list[str] | None) -> Column:
+    """Predicate for a list of ``yyyyMMdd`` days; it prunes partitions by year, month and day."""
     if days is None:
         return F.lit(True)
-    if dict(df.dtypes)[column] == "string":
-        return F.col(column).isin(days)
+    if not days:
+        return F.lit(False)
     iso = [f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in days]
-    picked = F.to_date(column).isin([F.lit(d).cast("date") for d in iso])
+    dates = [F.lit(d).cast("date") for d in iso]
+    parts = F.lit(True)
+    if set(PARTS) <= set(df.columns):
+        kinds = dict(df.dtypes)
+        day = F.make_date(*[F.col(p).cast("int") for p in PARTS]) if kinds["year"] == "string" else F.make_date(*PARTS)
+        parts = day.isin(dates)
+    if dict(df.dtypes)[column] == "string":
+        return parts & F.col(column).isin(days)
     stamp = F.col(column)
     low = F.lit(min(iso)).cast("timestamp_ntz")
     high = F.date_add(F.lit(max(iso)).cast("date"), 1).cast("timestamp_ntz")
-    return (stamp >= low) & (stamp < high) & picked
+    return parts & (stamp >= low) & (stamp < high) & F.to_date(column).isin(dates)
 
 
 def od_hourly(
@@ -38,7 +48,7 @@ def od_hourly(
     ``tolerant``: then it counts as missing (see :func:`rejected`).
     """
     cast = _number(tolerant)
-    rows = od_raw.where(_wanted_days(od_raw, "fecha", days) & _complete())
+    rows = od_raw.where(wanted_days(od_raw, "fecha", days) & _complete())
     if require_residence:
         rows = rows.where(F.col("residencia").isNotNull() & F.col("periodo").isNotNull())
     hour = cast("periodo", "int")
@@ -118,7 +128,7 @@ def typical_day(od: DataFrame, days: list[str] | None = None) -> DataFrame:
     is enough.
     """
     return (
-        od.where(_wanted_days(od, "fecha", days))
+        od.where(wanted_days(od, "fecha", days))
         .groupBy(
             F.col("origen_zone_id").alias("origin_id"),
             F.col("destino_zone_id").alias("destination_id"),
@@ -129,25 +139,49 @@ def typical_day(od: DataFrame, days: list[str] | None = None) -> DataFrame:
     )
 
 
-def od_quality(od: DataFrame, profile: DataFrame, days: list[str] | None = None) -> DataFrame:
+def day_moments(od: DataFrame, days: list[str] | None = None) -> DataFrame:
+    """Flows, their mean and their squared deviations by (date, origin): what scores compare with."""
+    measured = od.where(wanted_days(od, "fecha", days) & _measured())
+    return measured.groupBy(F.to_date("fecha").alias("date"), "origen_zone_id").agg(
+        F.count("*").alias("flows"),
+        F.avg("viajes").alias("mean"),
+        (F.var_pop("viajes") * F.count("*")).alias("spread"),
+    )
+
+
+def _measured() -> Column:
+    return F.col("viajes").isNotNull() & F.col("viajes_km").isNotNull()
+
+
+def _score_scale(moments: DataFrame, people: DataFrame) -> tuple[float, float]:
+    """Mean and sample deviation of the per-capita trips of all flows, from merged moments."""
+    known = lookup_join(moments, people, {"origen_zone_id": "id"}).where("people > 0")
+    mean, n = F.col("mean") / F.col("people"), F.col("flows")
+    total = known.agg(
+        F.sum(n).alias("n"),
+        F.sum(n * mean).alias("s"),
+        F.sum(n * mean * mean + F.col("spread") / F.pow("people", F.lit(2))).alias("q"),
+    ).first()
+    if not total.n:
+        return 0.0, 1.0
+    variance = max(total.q - total.s**2 / total.n, 0.0) / (total.n - 1) if total.n > 1 else 0.0
+    return total.s / total.n, math.sqrt(variance) or 1.0
+
+
+def od_quality(
+    od: DataFrame, profile: DataFrame, days: list[str] | None = None, moments: DataFrame | None = None
+) -> DataFrame:
     """Per-capita rates, negative flags and outliers of the hourly fact.
 
     The score compares with the mean and deviation over the whole fact, also when only some days
-    are asked for. Those two numbers are computed first and enter the plan as literals, so no row
-    meets a join for them and the second pass keeps its day predicate.
+    are asked for. They come from ``moments`` (see :func:`day_moments`), a table that is small and
+    kept day by day, and enter the plan as literals; without one the fact is read for them.
     """
     people = profile.select("id", F.col("poblacion_total").alias("people"))
-    small = fits_broadcast(people)
     per_capita = positive_ratio(F.col("viajes"), F.col("people"))
-
-    def enriched(rows: DataFrame) -> DataFrame:
-        measured = rows.where(F.col("viajes").isNotNull() & F.col("viajes_km").isNotNull())
-        return lookup_join(measured, people, {"origen_zone_id": "id"}, "left", small=small)
-
-    stats = enriched(od).agg(F.avg(per_capita).alias("mean"), F.stddev_samp(per_capita).alias("sd"))
-    overall = stats.first()
-    mean, deviation = overall.mean or 0.0, overall.sd or 1.0
-    scored = enriched(od.where(_wanted_days(od, "fecha", days))).select(
+    mean, deviation = _score_scale(day_moments(od) if moments is None else moments, people)
+    measured = od.where(wanted_days(od, "fecha", days) & _measured())
+    scored = lookup_join(measured, people, {"origen_zone_id": "id"}, "left").select(
         "fecha",
         "origen_zone_id",
         "destino_zone_id",

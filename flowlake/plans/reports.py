@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from flowlake.functions.geo import geojson, within_polygon
 from flowlake.functions.numeric import service_class, service_rank
-from flowlake.operators.distribution import histogram
+from flowlake.operators.distribution import density, histogram
 from flowlake.operators.incremental import between_days
 from flowlake.operators.joins import lookup_join, role_join
 from flowlake.operators.picks import top
 from flowlake.plans.zone_function import zone_rhythm
 from flowlake.sinks.reports import ReportParams
+from flowlake.sinks.tables import stored
 
 
 def zones_in(zones: DataFrame, polygon: str) -> DataFrame:
@@ -103,8 +104,15 @@ def mismatch_ratios(mismatch: DataFrame, zones: DataFrame, p: ReportParams) -> D
 def mismatch_histogram(
     mismatch: DataFrame, zones: DataFrame, p: ReportParams, upper: float | None = None
 ) -> DataFrame:
-    """Fifty bins of the pair ratios, over the full range or up to ``upper``."""
-    return histogram(mismatch_ratios(mismatch, zones, p), "mm_ratio", 50, upper)
+    """Fifty bins of the pair ratios, over the full range or up to ``upper``; the ratios are stored."""
+    return histogram(stored(mismatch_ratios(mismatch, zones, p), "ratios"), "mm_ratio", 50, upper)
+
+
+def mismatch_density(
+    mismatch: DataFrame, zones: DataFrame, p: ReportParams, upper: float | None = None
+) -> DataFrame:
+    """The curve over those bins, over the full range or up to ``upper``."""
+    return density(stored(mismatch_ratios(mismatch, zones, p), "ratios"), "mm_ratio", upper=upper)
 
 
 def mismatch_table(mismatch: DataFrame, zones: DataFrame, p: ReportParams) -> DataFrame:
@@ -169,7 +177,7 @@ def in_out_distribution(
     if not end_inclusive_day:
         flows = flows.where(F.col("fecha") <= F.lit(p.end).cast("timestamp_ntz"))
     inside = zones_in(zones, p.polygon).select("id", F.col("nombre").alias("municipality"))
-    rhythm = lookup_join(zone_rhythm(flows), inside, {"zone_id": "id"})
+    rhythm = lookup_join(zone_rhythm(flows, inside.select("id")), inside, {"zone_id": "id"})
     typed = lookup_join(rhythm, functions, {"zone_id": "zone_id"})
     measures = ["avg_out_trips", "avg_in_trips"]
     series = typed.groupBy("municipality", "functional_type", "hour").agg(

@@ -5,22 +5,28 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.temporal import day_of_week, weekday_name
 from flowlake.operators.joins import lookup_join
 from flowlake.operators.picks import majority
+from flowlake.sinks.tables import stored
 
-#: Rhythm rows a fitting task takes.
-ROWS_PER_TASK = 50_000
+#: Partitions of the rhythm while the model is fitted, whatever its size: the first centres depend on
+#: what each partition holds. A zone has at most 168 rows.
+FIT_PARTITIONS = 32
 
 FEATURES = ["avg_out_trips", "avg_in_trips", "dow", "hour", "is_weekend", "diff_out_in"]
+INPUTS = [f"{name}_x" for name in FEATURES]
 
 
-def zone_rhythm(od: DataFrame) -> DataFrame:
+def zone_rhythm(od: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Average departures and arrivals by (zone, weekday, hour), 0 where there are none.
 
+    ``wanted`` (column ``id``) restricts the zones before anything is added up.
+
     Each flow counts at its origin and at its destination, so one pass with one shuffle gives
     what a full outer join of two aggregates would: an average skips the other side's NULL.
     """
@@ -38,10 +44,13 @@ def zone_rhythm(od: DataFrame) -> DataFrame:
             ),
         )
     )
+    counted = od.select("fecha", ends.alias("end")).select("fecha", "end", F.col("end.zone_id").alias("zone_id"))
+    if wanted is not None:
+        counted = lookup_join(counted, wanted, {"zone_id": "id"}, "left_semi")
     return (
-        od.select("fecha", ends.alias("end"))
+        counted
         .groupBy(
-            F.col("end.zone_id").alias("zone_id"),
+            "zone_id",
             day_of_week(F.col("fecha")).alias("dow"),
             F.hour("fecha").alias("hour"),
         )
@@ -52,17 +61,6 @@ def zone_rhythm(od: DataFrame) -> DataFrame:
     )
 
 
-def joined_rhythm(out_trips: DataFrame, in_trips: DataFrame) -> DataFrame:
-    """The same table from two aggregates that already exist, by full outer join."""
-    return out_trips.join(in_trips, ["zone_id", "dow", "hour"], "full_outer").select(
-        "zone_id",
-        "dow",
-        "hour",
-        F.coalesce("avg_out_trips", F.lit(0.0)).alias("avg_out_trips"),
-        F.coalesce("avg_in_trips", F.lit(0.0)).alias("avg_in_trips"),
-    )
-
-
 def rhythm_features(rhythm: DataFrame) -> DataFrame:
     """Add weekday name, weekend flag and departures minus arrivals."""
     return (
@@ -72,29 +70,44 @@ def rhythm_features(rhythm: DataFrame) -> DataFrame:
     )
 
 
-def rhythm_clusters(rhythm: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
-    """Assign a cluster to each row: mean imputation, standard scaling, k-means.
-
-    The rhythm has at most 168 rows per zone. It is cached while the model is fitted, as each
-    iteration reads it, in partitions that follow its own size and not the shuffle before it.
-    """
+def _measured(rhythm: DataFrame) -> DataFrame:
     rows = rhythm_features(rhythm)
     for name in FEATURES:
         rows = rows.withColumn(f"{name}_x", F.col(name).cast("double"))
-    inputs = [f"{name}_x" for name in FEATURES]
-    stages = [
-        Imputer(strategy="mean", inputCols=inputs, outputCols=inputs),
-        VectorAssembler(inputCols=inputs, outputCol="raw"),
+    return rows
+
+
+def _scaling() -> list:
+    """Mean imputation and standard scaling into the column ``scaled``."""
+    return [
+        Imputer(strategy="mean", inputCols=INPUTS, outputCols=INPUTS),
+        VectorAssembler(inputCols=INPUTS, outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-        KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=300),
     ]
-    training = rows.persist()
+
+
+def scaled_features(rhythm: DataFrame) -> DataFrame:
+    """The rhythm with its imputed and standardised FEATURES as the array ``features``."""
+    rows = _measured(stored(rhythm, "rhythm"))
+    scaled = Pipeline(stages=_scaling()).fit(rows).transform(rows)
+    return scaled.withColumn("features", vector_to_array("scaled")).drop("raw", "scaled", *INPUTS)
+
+
+def rhythm_clusters(rhythm: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
+    """Assign a cluster to each row: mean imputation, standard scaling, k-means.
+
+    The rhythm has at most 168 rows per zone. It is written once, dealt by zone into a fixed number of
+    partitions in a fixed order, and cached while the model is fitted, as each iteration reads it.
+    """
+    rows = _measured(stored(rhythm, "rhythm"))
+    kmeans = KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=300)
+    stages = [*_scaling(), kmeans]
+    training = rows.repartition(FIT_PARTITIONS, "zone_id").sortWithinPartitions("zone_id", "dow", "hour").persist()
     try:
-        tasks = training.count() // ROWS_PER_TASK + 1
-        model = Pipeline(stages=stages).fit(training.coalesce(tasks))
+        model = Pipeline(stages=stages).fit(training)
     finally:
         training.unpersist()
-    return model.transform(rows).drop("raw", "scaled", *inputs)
+    return model.transform(rows).drop("raw", "scaled", *INPUTS)
 
 
 def label_zones(clustered: DataFrame) -> DataFrame:
@@ -119,9 +132,4 @@ def label_zones(clustered: DataFrame) -> DataFrame:
 
 def zone_function(od: DataFrame, seed: int = 42) -> DataFrame:
     """Residential / Non-residential by zone."""
-    return label_zones(rhythm_clusters(zone_rhythm(od), seed=seed))
-
-
-def with_function(zones: DataFrame, functions: DataFrame) -> DataFrame:
-    """Zones that have a functional type, with it."""
-    return lookup_join(zones, functions, {"id": "zone_id"})
+    return label_zones(stored(rhythm_clusters(zone_rhythm(od), seed=seed), "rhythm-clusters"))

@@ -84,45 +84,6 @@ def flow_distances(od: DataFrame, zones: DataFrame) -> DataFrame:
     return pair_distances(pairs, zones)
 
 
-def zone_distances(zones: DataFrame, blocks: int = 16, swap_axes: bool = False) -> DataFrame:
-    """The full table of unordered zone pairs with origin < destination.
-
-    The table itself is quadratic in the zones. It is computed block against block: zones hash
-    into ``blocks`` groups, each zone is sent to the cells of its row and of its column, and an
-    equi-join on the cell compares them, so the work is ``blocks``² independent shuffle keys.
-    Where only the pairs with flows matter, use :func:`flow_distances`.
-    """
-    x, y = ("lat", "lon") if swap_axes else ("lon", "lat")
-    base = zones.select(
-        "id",
-        F.col("centroid")[x].alias("lon"),
-        F.col("centroid")[y].alias("lat"),
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"),
-    )
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    rows = base.withColumn("other", other).select(
-        F.col("own").alias("i"), F.col("other").alias("j"), *_renamed(1)
-    )
-    columns = base.withColumn("other", other).select(
-        F.col("other").alias("i"), F.col("own").alias("j"), *_renamed(2)
-    )
-    return (
-        rows.join(columns, ["i", "j"])
-        .where("id1 < id2")
-        .select(
-            F.col("id1").alias("origin"),
-            F.col("id2").alias("destination"),
-            distance_km(F.col("lon1"), F.col("lat1"), F.col("lon2"), F.col("lat2")).alias(
-                "distance_km"
-            ),
-        )
-    )
-
-
-def _renamed(side: int):
-    return [F.col(c).alias(f"{c}{side}") for c in ("id", "lon", "lat")]
-
-
 def _zone_names(mapping: DataFrame) -> DataFrame:
     return mapping.select(F.col("municipio_mitma").alias("zone_id"), "nombre").distinct()
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowlake.functions.temporal import date_parts, day_text_parts
 from flowlake.operators.incremental import PARTS, as_day
 from flowlake.operators.merge import insert_new_rows
+from flowlake.session import scratch_path
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -17,17 +18,14 @@ def append(df: DataFrame, path: str) -> None:
 def append_new_rows(source: DataFrame, path: str) -> bool:
     """Row-level de-duplicating load: append what the table at ``path`` does not hold yet.
 
-    The source is staged in the cache, as it is read for its keys and for its rows. An empty one
-    ends the load early; the result says whether there was anything to merge.
+    The source is staged as files in the shared folder, as it may be as large as the table. An empty
+    one ends the load early; the result says whether there was anything to merge.
     """
-    staged = source.persist()
-    try:
-        if staged.isEmpty():
-            return False
-        append(insert_new_rows(staged, source.sparkSession.read.parquet(path)), path)
-        return True
-    finally:
-        staged.unpersist()
+    staged = stored(source, "staged")
+    if staged.isEmpty():
+        return False
+    append(insert_new_rows(staged, source.sparkSession.read.parquet(path)), path)
+    return True
 
 
 def replace(df: DataFrame, path: str) -> None:
@@ -51,6 +49,15 @@ def write_days(df: DataFrame, path: str, column: str) -> None:
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate that is read more than once to the shared folder, and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    schema = df.schema
+    df.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def append_days(df: DataFrame, path: str, column: str) -> None:
     """Plain partitioned append, for text days or timestamps."""
     text = dict(df.dtypes)[column] == "string"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -41,11 +41,6 @@ def _pattern(template: str, zone_type: str) -> str:
     )
 
 
-def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Feed text line by line: an address never spans lines, and a large feed can be split."""
-    return spark.read.text(path)
-
-
 def addresses(text: DataFrame, column: str, pattern: str) -> DataFrame:
     """Distinct first-group matches of a pattern."""
     found = F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(1))
@@ -57,9 +52,12 @@ def od_files(
 ) -> DataFrame:
     """Distinct daily OD files (``url``, ``fecha``) named in the text, for the wanted days.
 
-    Each line is matched once; the day is cut out of the distinct addresses.
+    Lines that name no such file are dropped by a plain search, addresses are cut out by a simple
+    pattern and made distinct, and only distinct ones meet the full pattern.
     """
-    found = addresses(text, column, _pattern(OD_FILE, zone_type)).select(
+    named = text.where(F.lower(column).contains(".csv.gz"))
+    candidates = addresses(named, column, r'(?i)(https?://[^\s"<>]+\.csv\.gz)')
+    found = addresses(candidates, "url", _pattern(OD_FILE, zone_type)).select(
         "url", F.regexp_extract("url", r"/(\d{8})_[^/]*$", 1).alias("fecha")
     )
     if days is None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlake.functions.temporal import day_text_parts
+from flowlake.operators.incremental import PARTS
 from flowlake.sources.files import with_provenance
 
 
@@ -26,18 +27,28 @@ def new_files(
 
 
 def ingest_available(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Append what is new to a table partitioned by the day text, then stop.
+    """Append what is new to a plain table partitioned by the day text, then stop.
 
-    The checkpoint is the log of processed files: a re-run adds nothing, a lost executor repeats
-    only its tasks, and the file sink commits each batch once.
+    The checkpoint is the log of processed files, so a re-run adds nothing. Every batch writes the
+    partitions of its own number (``batch``, then the day) and replaces them when it is repeated, so a
+    batch counts once. The table holds no sink log: batch writers may append to it, and readers see
+    both. They use ``batch = -1`` or any number the stream does not reach.
     """
     query = (
-        stream.select("*", *day_text_parts(F.col("fecha")))
-        .writeStream.format("parquet")
-        .partitionBy("year", "month", "day")
+        stream.writeStream.foreachBatch(lambda rows, number: write_batch(rows, number, target))
         .option("checkpointLocation", checkpoint)
-        .option("path", target)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def write_batch(rows: DataFrame, number: int, target: str) -> None:
+    """Write one batch as a whole: the same number again leaves the same rows."""
+    (
+        rows.select("*", F.lit(number).cast("long").alias("batch"), *day_text_parts(F.col("fecha")))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch", *PARTS)
+        .parquet(target)
+    )

@@ -185,6 +185,13 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     assert got.count() == 3 and got.where("day = 6").count() == 2
     assert got.select("source_file").distinct().count() == 2
 
+    late = spark.createDataFrame([("20240107", "3", "1", "2", "1", "2", "r")], schemas.OD_RAW)
+    for _ in range(2):  # a repeated batch replaces itself; stream and batch rows are read together
+        ingest.write_batch(late, -1, target)
+        assert spark.read.parquet(target).count() == 4
+    write_gz(tmp_path / "in" / "c.csv.gz", "20240107|4|1|2|1|2|r", header=plain)
+    assert run().count() == 5
+
 
 def test_row_level_load_is_repeatable(spark, tmp_path):
     path = str(tmp_path / "t")

@@ -18,13 +18,21 @@ def test_lookup_join_is_the_same_either_way(spark, how):
     left = spark.createDataFrame(
         [("hot" if i % 3 else f"k{i % 7}", i) for i in range(300)] + [(None, -1)], "k string, v int"
     )
-    right = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("zzz", 3.0)], "key string, w double")
-    small = joins.lookup_join(left, right, {"k": "key"}, how, small=True)
-    large = joins.lookup_join(left, right, {"k": "key"}, how, small=False)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert rows(small) == rows(large)
+    right = spark.sql("SELECT * FROM VALUES ('hot', 1.0D), ('k0', 2.0D), ('zzz', 3.0D) AS t(key, w)")
+    found = {}
+    for limit in ("10MB", "-1"):
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            joined = joins.lookup_join(left, right, {"k": "key"}, how)
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == (limit != "-1")
+            found[limit] = rows(joined)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found["10MB"] == found["-1"]
     kept = {"inner": 215, "left": 301, "left_semi": 215, "left_anti": 86}
-    assert small.count() == kept[how]
+    assert len(found["-1"]) == kept[how]
 
 
 def test_hot_key_is_split_when_the_keyed_side_is_large(spark):
@@ -45,7 +53,7 @@ def test_hot_key_is_split_when_the_keyed_side_is_large(spark):
         for key, value in settings.items():
             spark.conf.set(key, value)
         for how in ("inner", "left", "left_semi", "left_anti"):
-            joined = joins.lookup_join(left, right, {"k": "key"}, how, small=False)
+            joined = joins.lookup_join(left, right, {"k": "key"}, how)
             counted = joined.groupBy(F.col("k") % 5).agg(F.max("v"), F.count("*"))
             counted.collect()
             assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
@@ -54,9 +62,17 @@ def test_hot_key_is_split_when_the_keyed_side_is_large(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_broadcast_needs_a_counted_size(spark):
-    assert joins.fits_broadcast(spark.range(10), 10)
-    assert not joins.fits_broadcast(spark.range(11), 10)
+def test_no_job_runs_while_a_difference_is_planned(spark):
+    """Each side stands once in the plan, and building it starts no job."""
+    tracker = spark.sparkContext.statusTracker()
+    source = spark.range(100).select(F.col("id").alias("k"))
+    target = spark.range(50, 150).select(F.col("id").alias("t"))
+    before = len(tracker.getJobIdsForGroup())
+    late = joins.missing_rows(source, target, {"k": "t"})
+    early = joins.present_rows(source, target, {"k": "t"})
+    assert len(tracker.getJobIdsForGroup()) == before
+    assert late._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2
+    assert late.count() == early.count() == 50
 
 
 def test_insert_only_keeps_source_duplicates_and_null_keys(spark):
@@ -99,9 +115,10 @@ def test_first_per_key_and_majority(spark):
 
 def test_random_rows(spark):
     df = spark.range(100)
-    assert picks.random_rows(df, 10, 3).count() == 10
-    assert rows(picks.random_rows(df, 10, 3)) == rows(picks.random_rows(df, 10, 3))
-    assert picks.random_rows(df, 200, 3).count() == 100
+    assert picks.random_rows(df, 10, ["id"], 3).count() == 10
+    assert rows(picks.random_rows(df, 10, ["id"], 3)) == rows(picks.random_rows(df.repartition(7), 10, ["id"], 3))
+    assert rows(picks.random_rows(df, 10, ["id"], 3)) != rows(picks.random_rows(df, 10, ["id"], 4))
+    assert picks.random_rows(df, 200, ["id"], 3).count() == 100
 
 
 def test_histogram_matches_numpy(spark):

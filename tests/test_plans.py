@@ -94,6 +94,7 @@ def test_typical_day_in_batches_equals_all_at_once(spark):
         od.typical_day(flows, ["20240101"]).union(od.typical_day(flows, ["20240102"]))
     )
     assert rows(everything.select("hour", "avg_trips", "avg_km")) == [(8, 5.0, 10.0), (8, 7.0, 14.0)]
+    assert rows(od.typical_day(flows, [])) == []
 
 
 def test_od_quality(spark):
@@ -117,6 +118,9 @@ def test_od_quality(spark):
     )
     alone = od.od_quality(hourly(spark, ("2024-01-01", 1, "1", "2", 10)), profile).first()
     assert alone.z_viajes_per_capita == 0.0  # no spread: deviation 1
+    moments = od.day_moments(flows)
+    kept = od.od_quality(flows, profile, ["20240102"], moments).orderBy("origen_zone_id").collect()
+    assert kept[0].z_viajes_per_capita == pytest.approx(got[0].z_viajes_per_capita)
 
 
 def test_surveys(spark):
@@ -232,11 +236,12 @@ def km(a, b):
 
 
 def test_distances_against_brute_force(spark):
-    """The block join against every pair, with ids that compare as text."""
+    """Every pair that has flows, with ids that compare as text."""
     rng = random.Random(5)
     points = {str(i): (rng.uniform(-9, 3), rng.uniform(36, 43)) for i in range(45)}
     zones = zone(spark, **points)
-    got = {(r.origin, r.destination): r.distance_km for r in Z.zone_distances(zones, 4).collect()}
+    every = hourly(spark, *[("2024-01-01", 1, a, b, 1) for a in points for b in points])
+    got = {(r.origin, r.destination): r.distance_km for r in Z.flow_distances(every, zones).collect()}
     want = {(a, b): km(points[a], points[b]) for a in points for b in points if a < b}
     assert got.keys() == want.keys() and len(got) == 45 * 44 // 2
     assert all(got[k] == pytest.approx(want[k], rel=1e-6) for k in want)
@@ -317,9 +322,10 @@ def test_rhythm_equals_the_full_outer_join(spark):
     parts = [F.expr("dayofweek(fecha) - 1 AS dow"), F.expr("hour(fecha) AS hour")]
     leave = flows.groupBy(F.col("origen_zone_id").alias("zone_id"), *parts)
     arrive = flows.groupBy(F.col("destino_zone_id").alias("zone_id"), *parts)
-    joined = zone_function.joined_rhythm(
-        leave.agg(F.avg("viajes").alias("avg_out_trips")),
-        arrive.agg(F.avg("viajes").alias("avg_in_trips")),
+    keys = ["zone_id", "dow", "hour"]
+    leave, arrive = leave.agg(F.avg("viajes").alias("o")), arrive.agg(F.avg("viajes").alias("i"))
+    joined = leave.join(arrive, keys, "full_outer").select(
+        *keys, F.coalesce("o", F.lit(0.0)).alias("avg_out_trips"), F.coalesce("i", F.lit(0.0)).alias("avg_in_trips")
     )
     got = zone_function.zone_rhythm(flows)
     assert rows(got) == rows(joined)
@@ -341,7 +347,13 @@ def test_zone_function_separates_two_rhythms(spark):
         f"home{z}": "Residential" for z in range(3)
     }
     assert {k for z, k in got.items() if z.startswith("work")} == {"Non-residential"}
-    assert got == dict(rows(zone_function.zone_function(flows)))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert got == dict(rows(zone_function.zone_function(flows)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 INSIDE = ReportParams("2024-01-01", "2024-01-03", SQUARE.format(-0.5, 39, 2.5, 45))

@@ -10,13 +10,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from workload.queries import QUERIES
-from workload.sql import oracle_sql
-
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
-
+from workload.sql import TABLES, oracle_sql
 
 TYPES = {
     "bigint": "BIGINT",

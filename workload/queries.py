@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from flowlake import schemas
 from flowlake.functions.temporal import day_key
+from flowlake.functions.text import clean_population as clean_text_population
 from flowlake.operators import distribution, incremental, joins, merge, picks
-from flowlake.plans import gravity, od, reports, zone_function
+from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
 from flowlake.sinks import tables
 from flowlake.sources import catalog, feed, files
 from flowlake.streaming import ingest
-from workload.views import LARGE_PARAMS, PARAMS, YEAR, Views
+from workload.sql import TABLES
+from workload.views import HOLED, LARGE_PARAMS, PARAMS, TRIANGLE, YEAR, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,17 +47,19 @@ def hourly_large(v: Views) -> DataFrame:
     return od.od_hourly(v.od_raw_large(), v.holiday())
 
 
-def mismatch(v: Views) -> DataFrame:
-    return gravity.gravity_model(*v.lake(hourly(v)))
+def mismatch(v: Views, od: DataFrame | None = None) -> DataFrame:
+    flows = hourly(v) if od is None else od
+    return gravity.gravity_model(flows, **v.gravity_inputs(flows))
 
 
 def rule_function(v: Views) -> DataFrame:
     """A functional type by a fixed rule, so that reports on it can be compared."""
     mean = zone_function.zone_rhythm(hourly(v)).groupBy("zone_id")
     leaves = F.avg("avg_out_trips") > F.avg("avg_in_trips")
-    return mean.agg(
+    typed = mean.agg(
         F.when(leaves, "Residential").otherwise("Non-residential").alias("functional_type")
     )
+    return v.stored(typed, "rule-function")
 
 
 # -- flows ----------------------------------------------------------------------------------
@@ -154,6 +158,20 @@ def zone_distances(v: Views) -> DataFrame:
     return rounded(Z.flow_distances(hourly(v), v.zone()), distance_km=4)
 
 
+@query
+def invalid_zones(v: Views) -> DataFrame:
+    return Z.invalid_zones(v.broken_zone_raw())
+
+
+@query
+def clean_population(v: Views) -> DataFrame:
+    """Dotted thousands, a trailing ``.0``, text, and plain numbers."""
+    k = F.col("o_orderkey")
+    dotted = F.concat(F.floor(k / 1000), F.lit("."), F.lpad((k % 1000).cast("string"), 3, "0"))
+    text = F.when(k % 4 == 0, F.concat(k, F.lit(".0"))).when((k % 4 == 1) & (k >= 1000), dotted).when(k % 4 == 2, "n/a")
+    return v.table("orders").select(k.alias("id"), clean_text_population(text.otherwise(k.cast("string"))).alias("people"))
+
+
 @query
 def companies(v: Views) -> DataFrame:
     return Z.companies(v.companies_raw(), v.name_map(), YEAR)
@@ -174,6 +192,18 @@ def zone_profile(v: Views) -> DataFrame:
     return v.profile()
 
 
+@query
+def profile_chain(v: Views) -> DataFrame:
+    """From series rows to the profile of the mapped zones."""
+    mapping = v.stored(v.name_map(), "name-map")
+    zone = Z.zones(v.municipality_zone_raw(), mapping)
+    parts = [
+        build(raw, mapping, YEAR)
+        for build, raw in ((Z.companies, v.companies_raw()), (Z.income, v.income_raw()), (Z.population, v.population_raw()))
+    ]
+    return rounded(Z.zone_profile(zone, *parts, YEAR), renta_media=2)
+
+
 @query
 def zone_attributes(v: Views) -> DataFrame:
     names = v.table("customer").select(
@@ -188,13 +218,13 @@ def zone_attributes(v: Views) -> DataFrame:
 
 @query
 def gravity_base(v: Views) -> DataFrame:
-    base = gravity.gravity_base(*v.lake(hourly(v)))
+    base = gravity.gravity_base_of(**v.gravity_inputs(hourly(v)))
     return rounded(base, actual_trips=4, gravity_no_k=4)
 
 
 @query
 def gravity_k(v: Views) -> DataFrame:
-    base = gravity.gravity_base(*v.lake(hourly(v)))
+    base = gravity.gravity_base_of(**v.gravity_inputs(hourly(v)))
     return rounded(gravity.fit_gravity_k(base).drop("pairs"), k=8, rmse=4)
 
 
@@ -205,25 +235,29 @@ def gravity_mismatch(v: Views) -> DataFrame:
 
 @query
 def gravity_mismatch_large(v: Views) -> DataFrame:
-    result = gravity.gravity_model(*v.lake(hourly_large(v)))
-    return rounded(result, actual_trips=4, estimated_trips=4, mismatch_ratio=4)
+    return rounded(mismatch(v, hourly_large(v)), actual_trips=4, estimated_trips=4, mismatch_ratio=4)
 
 
 @query
 def mismatch_histogram(v: Views) -> DataFrame:
-    return rounded(reports.mismatch_histogram(v.stored(mismatch(v), "mismatch"), v.zone(), PARAMS), lower=4, upper=4)
+    return rounded(reports.mismatch_histogram(mismatch(v), v.zone(), PARAMS), lower=4, upper=4)
 
 
 @query
 def mismatch_histogram_truncated(v: Views) -> DataFrame:
-    bins = reports.mismatch_histogram(v.stored(mismatch(v), "mismatch"), v.zone(), PARAMS, upper=10)
+    bins = reports.mismatch_histogram(mismatch(v), v.zone(), PARAMS, upper=10)
     return rounded(bins, lower=4, upper=4)
 
 
 @query
 def mismatch_density(v: Views) -> DataFrame:
-    ratios = reports.mismatch_ratios(v.stored(mismatch(v), "mismatch"), v.zone(), PARAMS)
-    return rounded(distribution.density(ratios, "mm_ratio"), x=6, density=6)
+    return rounded(reports.mismatch_density(mismatch(v), v.zone(), PARAMS), x=6, density=6)
+
+
+@query
+def mismatch_density_truncated(v: Views) -> DataFrame:
+    curve = reports.mismatch_density(mismatch(v), v.zone(), PARAMS, upper=10)
+    return rounded(curve, x=6, density=6)
 
 
 @query
@@ -251,6 +285,22 @@ def top_origins(v: Views) -> DataFrame:
     return rounded(report, total_trips=4)
 
 
+def top_origins_inside(v: Views, polygon: str) -> DataFrame:
+    params = reports.ReportParams(PARAMS.start, PARAMS.end, polygon)
+    report = reports.top_origins(od.typical_day(hourly(v)), v.zone(), params)
+    return rounded(report, total_trips=4)
+
+
+@query
+def top_origins_triangle(v: Views) -> DataFrame:
+    return top_origins_inside(v, TRIANGLE)
+
+
+@query
+def top_origins_holed(v: Views) -> DataFrame:
+    return top_origins_inside(v, HOLED)
+
+
 @query
 def hourly_distribution(v: Views) -> DataFrame:
     report = reports.hourly_distribution(od.typical_day(hourly(v)), v.zone(), PARAMS)
@@ -305,9 +355,25 @@ def rhythm_features(v: Views) -> DataFrame:
     return rounded(picked, diff_out_in=6)
 
 
+@query
+def rhythm_scaled(v: Views) -> DataFrame:
+    """The features that the clusters are made of, in one row per zone, weekday and hour."""
+    scaled = zone_function.scaled_features(zone_function.zone_rhythm(hourly(v)))
+    values = {name: F.col("features")[i].alias(name) for i, name in enumerate(zone_function.FEATURES)}
+    picked = scaled.select("zone_id", F.col("dow").alias("weekday"), F.col("hour").alias("clock"), *values.values())
+    return rounded(picked, **{name: 6 for name in values})
+
+
+@query
+def zone_label(v: Views) -> DataFrame:
+    """Labels from clusters by a fixed rule."""
+    rhythm = v.stored(zone_function.zone_rhythm(hourly(v)), "rhythm")
+    return zone_function.label_zones(rhythm.withColumn("cluster", (F.col("hour") + F.col("dow")) % 2))
+
+
 @query
 def zone_functional_type(v: Views) -> DataFrame:
-    return zone_function.zone_function(v.stored(hourly(v), "od"))
+    return zone_function.zone_function(hourly(v))
 
 
 @query
@@ -482,6 +548,35 @@ def stream_ingest(v: Views) -> DataFrame:
     return rounded(od.od_hourly(ingested_rows, v.holiday()), viajes=4, viajes_km=4)
 
 
+@query
+def stream_and_batch(v: Views) -> DataFrame:
+    """Half of the days by the stream, half by a batch that is written twice, read together."""
+    target, source = scratch_path(v.spark, "od-both"), scratch_path(v.spark, "od-half")
+    early = F.col("fecha") < "20240115"
+    v.od_raw().where(early).write.option("header", True).option("sep", "|").csv(source)
+    stream = ingest.new_files(v.spark, source, schemas.OD_RAW, header="true", sep="|")
+    ingest.ingest_available(stream, target, target + "-checkpoint")
+    for _ in range(2):
+        ingest.write_batch(v.od_raw().where(~early), -1, target)
+    both = v.spark.read.parquet(target)
+    return rounded(od.od_hourly(both, v.holiday()), viajes=4, viajes_km=4)
+
+
+@query
+def refresh_days(v: Views) -> DataFrame:
+    """Some rows first; then late rows of present days, new days, and a day without valid rows."""
+    path = scratch_path(v.spark, "od-refreshed")
+    raw = v.stored(v.od_raw(), "od-raw")
+    outside = raw.limit(1).select(*[F.lit("20231231" if c == "fecha" else "externo" if c == "origen" else "1").alias(c) for c in raw.columns])
+    lake.refresh_od(raw.where("fecha < '20240120' and destino < '2'"), v.holiday(), path)
+    complete = raw.union(outside)
+    lake.refresh_od(complete, v.holiday(), path)
+    if again := lake.refresh_od(complete, v.holiday(), path):
+        raise ValueError(f"nothing changed, yet {again} were built")
+    table = v.spark.read.parquet(path).drop(*incremental.PARTS)
+    return rounded(table, viajes=4, viajes_km=4)
+
+
 @query
 def day_table(v: Views) -> DataFrame:
     """Daily table written twice, read back for a range of days."""
@@ -492,16 +587,12 @@ def day_table(v: Views) -> DataFrame:
     return rounded(rows.drop("year", "month", "day"), viajes=4, viajes_km=4)
 
 
-@query
-def storage_inventory(v: Views) -> DataFrame:
-    return catalog.storage_summary(catalog.storage_files(v.spark, v.sf_dir))
-
-
 @query
 def random_sample(v: Views) -> DataFrame:
-    return picks.random_rows(hourly(v), 10, seed=7)
+    keys = ["origin_id", "destination_id", "date", "hour"]
+    return rounded(picks.random_rows(od.typical_day(hourly(v)), 10, keys, seed=7), avg_trips=4, avg_km=4)
 
 
 @query
 def row_counts(v: Views) -> DataFrame:
-    return catalog.row_counts({t: v.table(t) for t in ("orders", "lineitem", "events")})
+    return catalog.row_counts({t: v.table(t) for t in TABLES})

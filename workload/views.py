@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from flowlake.functions.geo import centroid, parse_wkt
 from flowlake.functions.temporal import day_key
 from flowlake.plans import zones as Z
-from flowlake.plans.gravity import latest_year
+from flowlake.plans.gravity import daily_pairs, latest_year
 from flowlake.session import scratch_path
 from flowlake.sinks.reports import ReportParams
 from flowlake.sinks.tables import replace
@@ -21,6 +21,8 @@ from flowlake.sources.files import holidays
 PARAMS = ReportParams(
     "2024-01-05", "2024-01-20", "POLYGON ((-10 35, -3 35, -3 40, -10 40, -10 35))"
 )
+TRIANGLE = "POLYGON ((-10 35, 2 35, -10 43.3, -10 35))"
+HOLED = "POLYGON ((-10 35, 3 35, 3 43, -10 43, -10 35), (-7 37, -2 37, -2 40, -7 40, -7 37))"
 LARGE_PARAMS = ReportParams(
     "1996-01-01", "1999-12-31", "POLYGON ((-10 35, -3 35, -3 40, -10 40, -10 35))"
 )
@@ -129,11 +131,18 @@ class Views:
         )
         return companies, income, population
 
-    def lake(self, od: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """The hourly fact, the zones and their profile of the newest year as written tables."""
-        flows = self.stored(od, "od")
-        profile = self.profile(str(latest_year(flows)))
-        return flows, self.stored(self.zone(), "zone"), self.stored(profile, "profile")
+    def gravity_inputs(self, od: DataFrame) -> dict:
+        """Daily pair totals, zones, their profile of the newest year, as written tables, and that year."""
+        daily = self.stored(daily_pairs(od), "daily-pairs")
+        year = latest_year(daily, "date")
+        profile = self.stored(self.profile(str(year)), "profile")
+        return {"daily": daily, "zones": self.stored(self.zone(), "zone"), "profile": profile, "year": year}
+
+    def broken_zone_raw(self) -> DataFrame:
+        """Zones of which every fifth has a geometry text that ends too soon, and every seventh none."""
+        k = F.regexp_extract("ID", r"\d+", 0).cast("long")
+        broken = F.when(k % 5 == 0, "POLYGON ((0 0, 1").when(k % 7 == 0, None).otherwise(F.col("geometry"))
+        return self.municipality_zone_raw().distinct().withColumn("geometry", broken)
 
     def profile(self, year: str = YEAR) -> DataFrame:
         return Z.zone_profile(self.zone(), *self.indicators(), year)
