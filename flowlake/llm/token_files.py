@@ -10,6 +10,7 @@ where they are local or mounted, and read ranges elsewhere.
 
 from __future__ import annotations
 
+import os
 from functools import cache
 from pathlib import Path
 
@@ -19,47 +20,90 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from flowlake.llm.components import stored
-from flowlake.llm.tasks import pieces
+from flowlake.llm.tasks import pieces, small_batches
 
 SHARD_BYTES = 12 << 20
 #: Words kept between batches by one Python worker.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 300_000
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, name string, width int, documents long, tokens long"
 
 
-@cache
-def _tokenizer(text: str):
-    import os
+class WordEncoder:
+    """Ids of texts for a tokenizer that drops white space and never joins across it.
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    Texts are cut at spaces and line ends, and a distinct word is encoded once while it is remembered.
+    Words of letters alone, before a tail of full stops and commas, are encoded many in one call: each ends
+    with the one token that closes a word, and a call whose closing tokens are not as many as its
+    words is done again word by word.
+    """
 
-    return Tokenizer.from_str(text), {}
+    def __init__(self, text: str, kind: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.encoder, self.kind, self.known = Tokenizer.from_str(text), kind, {}
+        vocabulary = self.encoder.get_vocab(with_added_tokens=True)
+        suffix = getattr(self.encoder.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.closes[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        known = self.known
+        missing = set().union(*cut).difference(known)
+        self._learn(missing)
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        else:
+            for word in missing:
+                if len(word) > 64:
+                    del known[word]
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        cores, tails, plain = {}, set(), []
+        for word in words:
+            core = word.rstrip(".,")
+            core = core.lower() if core.isascii() else core
+            if core.isalpha() and core.lower().isalpha():
+                tail = word[len(core) :]
+                cores[word] = core, tail
+                tails.add(tail)
+            else:
+                plain.append(word)
+        known = self.known
+        fresh = list({c for c, _ in cores.values()}.difference(known))
+        for at in range(0, len(fresh), 500):
+            self._together(fresh[at : at + 500])
+        self._each([*plain, *tails.difference(known)])
+        for word, (core, tail) in cores.items():
+            known[word] = known[core] + known[tail] if tail else known[core]
+
+    def _together(self, words: list[str]) -> None:
+        ids = np.array(self.encoder.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            self._each(words)
+            return
+        flat, width, start = ids.tobytes(), ids.itemsize, 0
+        for word, end in zip(words, (ends * width).tolist()):
+            self.known[word] = flat[start:end]
+            start = end
 
+    def _each(self, words: list[str]) -> None:
+        for at in range(0, len(words), 1000):
+            part = words[at : at + 1000]
+            for word, found in zip(part, self.encoder.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = np.array(found.ids, self.kind).tobytes()
 
-def encode_words(texts: list[str], tokenizer: str, kind: str) -> list[bytes]:
-    """Ids of every text, as bytes of ``kind``.
 
-    For tokenizers that drop white space and never join across it: texts are cut at spaces and line
-    ends, and the tokenizer encodes each distinct word once per worker while it is remembered.
-    """
-    encoder, known = _tokenizer(tokenizer)
-    cut = [t.replace("\n", " ").split(" ") for t in texts]
-    missing = list(set().union(*cut).difference(known))
-    for at in range(0, len(missing), 20_000):
-        part = missing[at : at + 20_000]
-        for word, found in zip(part, encoder.encode_batch_fast(part, add_special_tokens=False)):
-            known[word] = np.array(found.ids, kind).tobytes()
-    out = [b"".join(map(known.__getitem__, words)) for words in cut]
-    for word in missing:
-        if len(word) > 64:
-            del known[word]
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    return out
+@cache
+def word_encoder(text: str, kind: str) -> WordEncoder:
+    return WordEncoder(text, kind)
 
 
 def _file_system(path: str):
@@ -81,11 +125,12 @@ def write_token_files(
     ignored. An empty table gives no shard. ``path`` lies in storage that all executors reach.
     """
     vocabulary = Path(tokenizer).read_text()
-    encoder, _ = _tokenizer(vocabulary)
-    kind = "<u2" if max(encoder.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else "<u4"
+    size = Tokenizer.from_str(vocabulary).get_vocab_size(with_added_tokens=True)
+    kind = "<u2" if max(size, end_id + 1) <= 1 << 16 else "<u4"
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    size = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(24, -(-size // shard_bytes))
+    total_bytes = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    shards = max(24, -(-total_bytes // shard_bytes))
     tie = F.xxhash64("text")
     dealt = slim.repartitionByRange(shards, F.col("id"), tie).sortWithinPartitions("id", tie, "text")
     end = np.array([end_id], kind).tobytes()
@@ -96,14 +141,15 @@ def write_token_files(
         shard = task.partitionId()
         name = f"shard-{shard:06d}-{task.taskAttemptId()}"
         fs, folder = _file_system(path)
+        encoder = word_encoder(vocabulary, kind)
         offsets, ids, out, total = [np.zeros(1, np.uint64)], [], None, 0
-        for piece in pieces(batches, "text", 1 << 20):
+        for piece in pieces(batches, "text", 1 << 19):
             if out is None:
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(f"{folder}/{name}.ids")
             column = piece.column(0)
             ids.append(np.asarray(column.fill_null(int(NO_ID))).astype("<i8"))
-            coded = encode_words([t or "" for t in piece.column(1).to_pylist()], vocabulary, kind)
+            coded = encoder.encode([t or "" for t in piece.column(1).to_pylist()])
             out.write(end.join(coded) + end)
             counts = np.array([len(c) // width + 1 for c in coded], np.uint64)
             offsets.append(total + np.cumsum(counts, dtype=np.uint64))
