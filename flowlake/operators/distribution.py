@@ -6,7 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from flowlake.sinks.tables import stored
 
 #: Fixed value: grid points of a density curve.
 DENSITY_POINTS = 200
@@ -80,67 +81,53 @@ def density(df: DataFrame, column: str, bins: int = 50, upper: float | None = No
     )
 
 
+#: So many distinct values are read and walked through on the driver; more are narrowed first.
+WALKED_VALUES = 4096
+
+
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: list[float], buckets: int = 128
+    df: DataFrame, column: str, probabilities: list[float], buckets: int = 128, walked: int = WALKED_VALUES
 ) -> list[float]:
-    """Linearly interpolated quantiles, exact, without sorting everything in one task.
+    """Linearly interpolated quantiles, exact, without sorting many values in one task.
 
-    Equal values collapse into counts; approximate cut points split the distinct values into
-    buckets of like size; only bucket totals and the few values at the wanted ranks reach the
-    driver. Within a bucket the running count is a window over that bucket alone.
+    Equal values collapse into counts, which are written. Approximate cut points split the distinct
+    values into buckets of like size, whose totals tell which ones hold the wanted ranks; those are cut
+    again until ``walked`` distinct values or fewer are left to read.
     """
-    counts = (
-        df.select(F.col(column).cast("double").alias("v"))
-        .where(F.col("v").isNotNull())
-        .groupBy("v")
-        .agg(F.count("*").alias("n"))
-        .persist()
-    )
-    try:
-        shares = [i / buckets for i in range(1, buckets)]
-        cuts = counts.agg(F.percentile_approx("v", shares, 10_000)).first()[0]
-        if not cuts:
-            return []
-        cuts = sorted(set(cuts))
-        bucketed = counts.withColumn(
-            "bucket", F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col("v")))
-        )
-        start, starts = 0, {}
-        for bucket, size in sorted(bucketed.groupBy("bucket").agg(F.sum("n")).collect()):
-            starts[bucket] = (start, start + size)
-            start += size
-        ranks = set()
-        for p in probabilities:
-            position = p * (start - 1)
-            ranks |= {math.floor(position), math.ceil(position)}
-        wanted = {b: r for b, r in starts.items() if any(r[0] <= k < r[1] for k in ranks)}
-        offset = F.element_at(
-            F.create_map(*[F.lit(x) for b, r in wanted.items() for x in (b, r[0])]),
-            F.col("bucket"),
-        )
-        running = F.sum("n").over(W.partitionBy("bucket").orderBy("v")) + offset
-        holds = F.exists(
-            F.lit(sorted(ranks)), lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("n"))
-        )
-        found = (
-            bucketed.where(F.col("bucket").isin(*wanted))
-            .withColumn("upto", running)
-            .where(holds)
-            .select("v", "n", "upto")
-            .collect()
-        )
-    finally:
-        counts.unpersist()
-
-    def at(rank: int) -> float:
-        return next(r.v for r in found if r.upto - r.n <= rank < r.upto)
-
-    result = []
-    for p in probabilities:
-        position = p * (start - 1)
-        low, high = at(math.floor(position)), at(math.ceil(position))
-        result.append(low + (high - low) * (position - math.floor(position)))
-    return result
+    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
+    counts = stored(values.groupBy("v").agg(F.count("*").alias("n")), "value-counts")
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
+        return []
+    positions = [p * (total - 1) for p in probabilities]
+    ranks = {f(position) for position in positions for f in (math.floor, math.ceil)}
+    at = _values_at(counts, ranks, 0, buckets, walked)
+
+    def between(position: float) -> float:
+        low, high = at[math.floor(position)], at[math.ceil(position)]
+        return low + (high - low) * (position - math.floor(position))
+
+    return [between(position) for position in positions]
+
+
+def _values_at(counts: DataFrame, ranks: set[int], before: int, buckets: int, walked: int) -> dict[int, float]:
+    """The value at each rank, where ``before`` values come ahead of these."""
+    found = {}
+    if counts.count() <= walked:
+        for row in sorted(counts.collect()):
+            found |= {k: row.v for k in ranks if before <= k < before + row.n}
+            before += row.n
+        return found
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(counts.agg(F.percentile_approx("v", shares, 10_000)).first()[0]))
+    bucket = F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col("v")))
+    for number, size in sorted(counts.groupBy(bucket).agg(F.sum("n")).collect()):
+        if wanted := {k for k in ranks if before <= k < before + size}:
+            inside = counts.where(F.col("v") > cuts[number - 1]) if number else counts
+            inside = inside.where(F.col("v") <= cuts[number]) if number < len(cuts) else inside
+            found |= _values_at(inside, wanted, before, buckets, walked)
+        before += size
+    return found
 
 
 def quantile_class(df: DataFrame, column: str, classes: int = 5, out: str = "class") -> DataFrame:
