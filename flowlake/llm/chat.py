@@ -76,11 +76,12 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         F.coalesce(F.col(parts).cast(f"array<{PART}>"), F.array().cast(f"array<{PART}>")).alias("parts"),
     )
     order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "parts")
-    visited = slim.select("conv", F.row_number().over(order).alias("t"), "role", F.posexplode(_pieces()).alias("p", "piece"))
+    numbered = slim.withColumn("t", F.row_number().over(order))  # before the turns become pieces
+    visited = numbered.select("conv", "t", "role", F.posexplode(_pieces()).alias("p", "piece"))
     along = Window.partitionBy("conv").orderBy("t", "p").rowsBetween(Window.unboundedPreceding, 0)
     media = F.col("piece.kind").isin(*MEDIA)
-    numbered = visited.withColumn("number", F.sum(media.cast("int")).over(along))
-    named = numbered.withColumn(
+    counted = visited.withColumn("number", F.sum(media.cast("int")).over(along))
+    named = counted.withColumn(
         "out", F.when(media, F.concat(F.lit("<|"), F.col("piece.kind"), F.lit("_"), F.col("number"), F.lit("|>"))).otherwise(F.col("piece.text"))
     )
     placed = named.withColumn("length", F.length("out")).withColumn("start", F.sum("length").over(along) - F.col("length"))
