@@ -36,12 +36,19 @@ class SpanEncoder:
     """Token spans of whole texts for a byte-level tokenizer without a prefix space.
 
     Such a tokenizer always starts anew where white space follows other characters, so a text is cut
-    there, and a distinct piece is encoded once while it is remembered.
+    there, and a distinct piece is encoded once while it is remembered. A space, ASCII letters and a tail
+    of full stops and commas go straight to the merges, which no other step of it changes.
     """
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.encoder, self.known = Tokenizer.from_str(text), {}
+        probe = (" Abcxyz", " Abc.,")
+        self.plain = False
+        self._learn(set(probe))
+        slow, self.known, self.plain = self.known, {}, True
+        self._learn(set(probe))
+        self.plain, self.known = self.known.items() >= slow.items(), {}
 
     def spans(self, texts: list[str]):
         """(starts, ends) of the tokens of each text."""
@@ -64,7 +71,22 @@ class SpanEncoder:
         return out
 
     def _learn(self, parts: set[str]) -> None:
-        inner = [p for p in parts if p[0] in " \t\n\r\f\v" and p[-1] not in " \t\n\r\f\v"]
+        rest = parts
+        if self.plain:
+            words = {}
+            for part in parts:
+                if part[0] == " " and part.isascii():
+                    core = part.rstrip(".,")
+                    if core[1:].isalpha():
+                        words[part] = core
+            for part, core in words.items():
+                if core not in self.known:
+                    self.known[core] = self._merged("\u0120" + core[1:])
+                if part != core:
+                    tail = np.frombuffer(self._merged(part[len(core) :]), "<u2") + len(core)
+                    self.known[part] = self.known[core] + tail.astype("<u2").tobytes()
+            rest = parts.difference(words)
+        inner = [p for p in rest if p[0] in " \t\n\r\f\v" and p[-1] not in " \t\n\r\f\v"]
         for at in range(0, len(inner), 500):  # each starts with white space after another's end
             some = inner[at : at + 500]
             found = np.array(self.encoder.encode("".join(some), add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
@@ -74,10 +96,15 @@ class SpanEncoder:
             for part, end, high in zip(some, ends, cuts):
                 self.known[part] = (found[low:high] - (end - len(part))).astype("<u2").tobytes()
                 low = high
-        for part in parts.difference(inner):
+        for part in rest.difference(inner):
             found = self.encoder.encode(part, add_special_tokens=False).offsets
             self.known[part] = np.array(found, "<u2").tobytes()
 
+    def _merged(self, letters: str) -> bytes:
+        """Spans from the merges alone, for ASCII letters after the mark of a space, or for punctuation."""
+        found = np.array([t.offsets for t in self.encoder.model.tokenize(letters)], "<u2")
+        return (found - (found > 0)).astype("<u2").tobytes() if letters[0] == "\u0120" else found.tobytes()  # it has two bytes
+
 
 @cache
 def span_encoder(text: str) -> SpanEncoder:
