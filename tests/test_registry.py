@@ -17,7 +17,7 @@ CHECKED = [
     "gravity_mismatch_large", "mismatch_histogram_truncated", "hourly_distribution",
     "in_out_distribution", "flow_quantile_class", "pending_files", "url_batches",
     "merge_null_safe", "stream_ingest", "day_table", "refresh_days", "stream_and_batch",
-    "profile_chain", "rhythm_scaled", "zone_label", "random_sample", "top_origins_holed",
+    "population_from_documents", "id_value_files", "profile_chain", "rhythm_scaled", "zone_label", "random_sample", "top_origins_holed",
 ]
 
 

@@ -529,6 +529,60 @@ def csv_ingest(v: Views) -> DataFrame:
     return rounded(od.od_hourly(raw, v.holiday()), viajes=4, viajes_km=4)
 
 
+def written_documents(v: Views, rows: DataFrame, name: str, files: int) -> str:
+    """Rows as JSON array documents, about ``files`` of them, in the shared folder."""
+    path = scratch_path(v.spark, name)
+    part = F.pmod(F.xxhash64(*[F.to_json(F.struct(*rows.columns))]), F.lit(files))
+    documents = rows.groupBy(part.alias("file")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    documents.repartition(files, "file").write.partitionBy("file").text(path)
+    return path
+
+
+@query
+def population_from_documents(v: Views) -> DataFrame:
+    """The series as JSON documents, read back and reduced to the population table."""
+    path = written_documents(v, v.population_raw().select(F.lit(None).cast("string").alias("COD"), "Nombre", "Data"), "series", 16)
+    series = files.read_json_array(v.spark, path, schemas.SERIES_RAW, year=int(YEAR))
+    return Z.population(series, v.name_map(), YEAR)
+
+
+@query
+def holidays_from_documents(v: Views) -> DataFrame:
+    """The calendar as a JSON document, in the flags of the daily counts."""
+    path = written_documents(v, v.holiday_raw().select("startDate", "name", "nationwide"), "holidays", 1)
+    return od.day_counts(od.od_hourly(v.od_raw(), files.read_holidays(v.spark, path)))
+
+
+def written_pairs(v: Views, name: str, *columns) -> str:
+    """Pipe-separated lines without a header, from the parts."""
+    path = scratch_path(v.spark, name)
+    v.table("part").select(*columns).write.option("sep", "|").csv(path)
+    return path
+
+
+@query
+def id_value_files(v: Views) -> DataFrame:
+    """Second and third of three columns, one row per cleaned id with its smallest value."""
+    number = F.concat((F.col("p_partkey") % 500).cast("string"), F.when(F.col("p_partkey") % 2 == 0, ".0").otherwise(""))
+    path = written_pairs(v, "pairs", F.lit("x"), number, F.col("p_size").cast("string"))
+    return files.read_id_value(v.spark, path, False, "Poblacion")
+
+
+@query
+def zone_boundaries(v: Views) -> DataFrame:
+    """Boundaries with the names and populations that two files give for some of them."""
+    key = F.col("p_partkey")
+    shapes = v.table("part").select(
+        F.concat(key, F.when(key % 3 == 0, ".0").otherwise("")).alias("ID"), F.concat(F.lit("G"), key).alias("geometry"), F.col("p_size").alias("size")
+    )
+    names = files.read_id_value(v.spark, written_pairs(v, "names", key.cast("string"), F.when(key % 5 > 0, F.col("p_name"))), False, "Nombre")
+    people = files.read_id_value(
+        v.spark, written_pairs(v, "people", key.cast("string"), F.concat(F.col("p_size"), F.lit(".000"))), False, "Poblacion"
+    )
+    attributes = files.zone_attributes(names, people.where(F.col("ID").cast("long") % 7 > 0))
+    return files.zone_boundaries(shapes, attributes)
+
+
 @query
 def ingest_summary(v: Views) -> DataFrame:
     """Rows per source file, with one file name per day as the manifest would give."""
