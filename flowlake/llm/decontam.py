@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlake.llm.tasks import pieces
+from flowlake.llm.tasks import pieces, small_batches
 from flowlake.llm.words import U64, mix, split_words
 
 MASKS = ("11101011", "11001111")
@@ -106,6 +106,7 @@ class Items:
 
 def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[Items]:
     """The benchmark in blocks of about BLOCK_WORDS words, each small enough to ship to every task."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     size = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+"))), F.lit(0))).first()[0]
     blocks = max(1, -(-size // BLOCK_WORDS))

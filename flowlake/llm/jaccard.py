@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.llm.components import components, stored
-from flowlake.llm.tasks import pieces
+from flowlake.llm.tasks import pieces, small_batches, tidy
 from flowlake.llm.words import BASE, U64, mix, split_words
 
 #: Rows of a band, and the accepted chance to miss a pair just at the threshold.
@@ -215,6 +215,7 @@ def _traverse(percent: int):
             else:
                 forest.across(Node(forest, 0, first), Node(forest, first, len(rows)))
             links += forest.links
+        tidy()
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return traverse
@@ -230,6 +231,7 @@ def jaccard_classes(docs: DataFrame, shingle: int, percent: int, id_col: str = "
     component. Rows that repeat an id are one text with all their sets. Other columns are ignored.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     sketch = stored(slim.mapInArrow(_sketch(shingle, band_count(percent)), SKETCH), "sketch")
     usable = sketch.where("n > 0 and id is not null")
     classes = stored(usable.groupBy("n", "d1", "d2").agg(F.min("id").alias("id"), F.min("bands").alias("bands")), "classes")

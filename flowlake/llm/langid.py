@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlake.llm.components import stored
-from flowlake.llm.tasks import pieces
+from flowlake.llm.tasks import pieces, small_batches
 from flowlake.llm.words import U64, mix
 
 ORDER = 4
@@ -231,6 +231,7 @@ def fit_languages(docs: DataFrame, usable: Column | None = None, id_col: str = "
     Rows with null text, null language, or not ``usable`` teach nothing. Without any, the model knows
     no language and calls every text unknown.
     """
+    small_batches(docs.sparkSession)
     rows = docs.where(usable) if usable is not None else docs
     rows = rows.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "text is not null and lang is not null"
@@ -313,7 +314,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """
 
     def predict(batches):
-        for piece in pieces(batches, "text", 1 << 20):
+        for piece in pieces(batches, "text", 1 << 18):
             found = model.predict([t or "" for t in piece.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([piece.column(0), *map(pa.array, found)], ["id", "lang_pred", "score", "rejected", "cross_entropy"])
 
@@ -326,7 +327,7 @@ def known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text"
     """Rows of ``docs``, all columns, whose text the model does not reject."""
 
     def keep(batches):
-        for piece in pieces(batches, text_col, 1 << 20):
+        for piece in pieces(batches, text_col, 1 << 18):
             texts = piece.column(piece.schema.get_field_index(text_col)).to_pylist()
             yield piece.filter(pa.array(~model.predict([t or "" for t in texts])[2]))
 

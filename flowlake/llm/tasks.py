@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -28,3 +29,12 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
             upto = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
+    tidy()
+
+
+def tidy() -> None:
+    """Give freed memory back at the end of a task: Python workers live on and share an executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
