@@ -27,7 +27,7 @@ from flowlake.llm.words import BASE, U64, mix, split_words
 #: Rows of a band, and the accepted chance to miss a pair just at the threshold.
 ROWS, MISS = 5, 1e-6
 #: Sets in a chunk, in a leaf, and children of a node.
-CHUNK, LEAF, FAN = 256, 4, 4
+CHUNK, LEAF, FAN = 96, 4, 4
 #: Up to so many ids may be broadcast to pick the texts of the forests; beyond it they are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 SKETCH = "id long, n long, d1 long, d2 long, bands binary"
