@@ -27,7 +27,7 @@ from flowlake.llm.tasks import pieces, small_batches
 
 SHARD_BYTES = 12 << 20
 #: Words kept between batches by one Python worker.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 500_000
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, name string, width int, documents long, tokens long"
 
@@ -36,16 +36,19 @@ class WordEncoder:
     """Ids of texts for a tokenizer that drops white space and never joins across it.
 
     Texts are cut at spaces and line ends, and a distinct word is encoded once while it is remembered.
-    Words of letters alone, before a tail of full stops and commas, are encoded many in one call: each ends
-    with the one token that closes a word, and a call whose closing tokens are not as many as its
-    words is done again word by word.
+    Words of ASCII letters alone, before a tail of full stops and commas, go in lower case straight to the
+    merges of a tokenizer that lower-cases, as no other step of it changes them. Words with other letters are encoded
+    many in one call: each ends with the one token that closes a word, and a call whose closing tokens
+    are not as many as its words is done again word by word.
     """
 
     def __init__(self, text: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.encoder, self.kind, self.known = Tokenizer.from_str(text), kind, {}
+        self._merges = self.encoder.model.tokenize
         vocabulary = self.encoder.get_vocab(with_added_tokens=True)
         suffix = getattr(self.encoder.model, "end_of_word_suffix", None)
+        self.lowers = [t.id for t in self._merges("abcxyz")] == self.encoder.encode("AbcXYZ", add_special_tokens=False).ids
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.closes[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
@@ -60,15 +63,19 @@ class WordEncoder:
             known.clear()
         else:
             for word in missing:
-                if len(word) > 64:
-                    del known[word]
+                if len(word) > 64:  # neither it nor its core is worth the room
+                    known.pop(word, None)
+                    known.pop(self._core(word), None)
         return out
 
+    def _core(self, word: str) -> str:
+        core = word.rstrip(".,")
+        return core.lower() if self.lowers and core.isascii() else core
+
     def _learn(self, words: set[str]) -> None:
         cores, tails, plain = {}, set(), []
         for word in words:
-            core = word.rstrip(".,")
-            core = core.lower() if core.isascii() else core
+            core = self._core(word)
             if core.isalpha() and core.lower().isalpha():
                 tail = word[len(core) :]
                 cores[word] = core, tail
@@ -77,6 +84,10 @@ class WordEncoder:
                 plain.append(word)
         known = self.known
         fresh = list({c for c, _ in cores.values()}.difference(known))
+        if self.lowers:
+            for core in filter(str.isascii, fresh):
+                known[core] = np.array([t.id for t in self._merges(core)], self.kind).tobytes()
+            fresh = [c for c in fresh if not c.isascii()]
         for at in range(0, len(fresh), 500):
             self._together(fresh[at : at + 500])
         self._each([*plain, *tails.difference(known)])
