@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4 << 20
 #: Hashes a bucket holds on average; a task sorts one bucket at a time.
-BUCKET_HASHES = 1 << 20
+BUCKET_HASHES = 1 << 19
 MAX_TABLE_BUCKETS = 20_000
 
 

@@ -10,6 +10,7 @@ score is the exact likelihood by the scaled forward recursion.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -157,7 +158,7 @@ def _encode(vocabulary: Vocabulary, buckets: int):
         base = np.log10((counts + 1) / (v.tokens + v.distinct + 1))
         end = np.log10((v.ends + 1) / (v.tokens + v.distinct + 1))
         texts = len(words.first) - 1
-        per_text = lambda x: np.bincount(words.text_of, x[rank], texts)
+        per_text = lambda x: np.bincount(words.text_of, x[rank], texts).astype(float)
         flat = symbol[rank]
         stop = np.uint16(v.end_symbol).tobytes()
         return pa.table({
@@ -323,12 +324,14 @@ def score_texts(
     total = sent.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     ends = table.where("not held").count()
     replies = stored(sent.groupBy("bucket").applyInArrow(_count(total + ends), REPLY), "word-counts")
-    vocabulary = _vocabulary(replies, ends)
+    vocabulary = _vocabulary(replies, ends, buckets)
     encoded = groups.cogroup(replies.where("kind = 0").select("block", "bucket", "one").groupBy("block"))
     coded = stored(encoded.applyInArrow(_encode(vocabulary, buckets), SYMBOLS), "symbols")
 
     shares = vocabulary.shares
-    first = coded.where("not held").orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(START_TEXTS).select("symbols").collect()
+    place = F.xxhash64(F.lit(SEED), "id", "symbols")  # a share of the texts first, so tasks send few of them
+    near = (place.cast("double") / F.lit(2.0**64) + 0.5) * F.lit(ends) <= 2 * START_TEXTS + 50
+    first = coded.where("not held").where(near).orderBy(place, "symbols").limit(START_TEXTS).select("symbols").collect()
     model = _start_model([np.frombuffer(bytes(r.symbols), np.uint16) for r in first], shares, states)
     for _ in range(iterations):
         model = _train(coded, model, shares)
@@ -347,13 +350,17 @@ def score_texts(
     )
 
 
-def _vocabulary(replies: DataFrame, ends: int) -> Vocabulary:
-    """At most FREQUENT words and CLASSES sums reach the driver."""
+def _vocabulary(replies: DataFrame, ends: int, buckets: int) -> Vocabulary:
+    """At most FREQUENT words and CLASSES sums reach the driver, the sums as one row per root of the buckets."""
     frequent = [(x, y) for r in replies.where("kind = 1").collect() for x, y in zip(np.frombuffer(bytes(r.one), U64), np.frombuffer(bytes(r.two), np.int64))]
     frequent.sort()
-    sums = [np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)]
-    for r in replies.where("kind = 2").toLocalIterator():
-        sums[0] = sums[0] + np.frombuffer(bytes(r.one), np.int64)
-        sums[1] = sums[1] + np.frombuffer(bytes(r.two), np.int64)
+    parts = replies.where("kind = 2").withColumn("part", F.pmod("bucket", F.lit(math.isqrt(buckets))).cast("int"))
+    rows = parts.select("part", "one", "two").groupBy("part").applyInArrow(_sum_classes, "one binary, two binary").collect()
+    sums = [sum((np.frombuffer(bytes(r[k]), np.int64) for r in rows), np.zeros(CLASSES, np.int64)) for k in (0, 1)]
     keys = np.array([x for x, _ in frequent], U64)
     return Vocabulary(keys, np.array([y for _, y in frequent], np.int64), *sums, ends)
+
+
+def _sum_classes(table: pa.Table) -> pa.Table:
+    sums = (sum(np.frombuffer(x.as_py(), np.int64) for x in table[c]) for c in ("one", "two"))
+    return pa.table([pa.array([x.tobytes()], pa.binary()) for x in sums], names=["one", "two"])
