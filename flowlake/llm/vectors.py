@@ -18,7 +18,7 @@ from flowlake.llm.components import components, stored
 
 PASSES, WINDOW, BITS, SEED = 24, 32, 64, 5
 #: Vectors of one component compared in one task with as many others.
-BLOCK = 1024
+BLOCK = 256
 VECTORS = "vec_id long, dim int, vector binary"
 
 
@@ -65,8 +65,21 @@ def _project(passes: int):
     return project
 
 
+def _joins(parent: dict[int, int], x: int, y: int) -> bool:
+    """Whether a link between x and y connects what was apart; then it is so no more."""
+    for side in (x, y):
+        parent.setdefault(side, side)
+    while parent[x] != x:
+        parent[x] = x = parent[parent[x]]
+    while parent[y] != y:
+        parent[y] = y = parent[parent[y]]
+    parent[max(x, y)] = min(x, y)
+    return x != y
+
+
 def _compare(threshold: float, window: int):
-    """Links between neighbours; the last rows of a batch stay for the next one."""
+    """Links between neighbours, without those that others of the batch imply; its last rows stay for
+    the next one. All links of a component are counted later, so a crowd need not send each of them."""
 
     def compare(batches):
         held = None
@@ -76,6 +89,7 @@ def _compare(threshold: float, window: int):
                 fresh = 0 if held is None else len(held)
                 part = part if held is None else pa.concat_tables([held, part])
                 turns, ids = np.asarray(part["turn"]), np.asarray(part["vec_id"])
+                parent: dict[int, int] = {}
                 for rows, dim in _by_dim(part):
                     vectors = _matrix(part["vector"].take(pa.array(rows)), dim)
                     for step in range(1, min(window, len(rows) - 1) + 1):
@@ -83,9 +97,9 @@ def _compare(threshold: float, window: int):
                         near = np.flatnonzero((turns[a] == turns[b]) & (b >= fresh) & (ids[a] != ids[b]))
                         cosine = np.einsum("ij,ij->i", vectors[near], vectors[near + step])
                         hit = near[cosine >= threshold]
-                        low, high = np.minimum(ids[a[hit]], ids[b[hit]]), np.maximum(ids[a[hit]], ids[b[hit]])
-                        if len(hit):
-                            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+                        links = [(x, y) for x, y in zip(ids[a[hit]].tolist(), ids[b[hit]].tolist()) if _joins(parent, x, y)]
+                        if links:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
                 held = part.slice(max(0, len(part) - window))
 
     return compare
@@ -133,7 +147,7 @@ def near_vectors(
     dealt = usable.mapInArrow(_project(passes), "turn int, key binary, " + VECTORS)
     parts = max(24, -(-usable.count() * passes // 20_000))
     dealt = dealt.repartitionByRange(parts, "dim", "turn", "key", "vec_id").sortWithinPartitions("dim", "turn", "key", "vec_id")
-    links = dealt.mapInArrow(_compare(threshold, window), "a long, b long").distinct()
+    links = dealt.mapInArrow(_compare(threshold, window), "a long, b long")
     found = stored(components(links).withColumnRenamed("id", "vec_id"), "vector-components")
 
     sizes = found.groupBy("component").agg(F.floor((F.count("*") + BLOCK - 1) / BLOCK).cast("int").alias("blocks"))
