@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from flowlake.llm.tasks import pieces, small_batches
 
 #: Pieces kept between batches by one Python worker.
-KNOWN = 200_000
+KNOWN = 500_000
 RULES = ("first", "last", "most")
 SPACE = r" \t\n\r\f\v"
 CUT = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -68,11 +68,13 @@ class SpanEncoder:
         for at in range(0, len(inner), 500):  # each starts with white space after another's end
             some = inner[at : at + 500]
             found = np.array(self.encoder.encode("".join(some), add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
-            ends = np.cumsum([len(p) for p in some])
+            sizes = np.array([len(p) for p in some])
+            ends = np.cumsum(sizes)
             cuts = np.searchsorted(found[:, 0], ends)
-            low = 0
-            for part, end, high in zip(some, ends, cuts):
-                self.known[part] = (found[low:high] - (end - len(part))).astype("<u2").tobytes()
+            shift = np.repeat(ends - sizes, np.diff(cuts, prepend=0))
+            flat, low = (found - shift[:, None]).astype("<u2").tobytes(), 0
+            for part, high in zip(some, (cuts * 4).tolist()):
+                self.known[part] = flat[low:high]
                 low = high
         for part in parts.difference(inner):
             found = self.encoder.encode(part, add_special_tokens=False).offsets
