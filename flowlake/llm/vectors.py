@@ -1,10 +1,12 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by projection passes whose number follows from the table.
 
-In every pass a vector gets 64 bits, the signs of its products with seeded random directions. Vectors
-sorted by these bits stand near others that agree on the leading bits; each is compared with the next
-few. Pairs that reach the threshold link, and links of all passes together give the components. A link
-never leaves its component, so the links of a vector are then counted inside its component, in blocks:
-windows are bounded, yet a crowd larger than a window loses none of its links.
+In every pass a vector gets the signs of its products with a few seeded random directions. Vectors of
+equal signs are one run, and all pairs of a run are compared; a run larger than a block is compared block
+against block, in tasks of their own. A pair at the threshold agrees in one sign with a chance that the
+angle gives, so for any number of signs follows how many passes leave it apart with a chance of at most
+MISS; a closer pair is missed with far less. The number of signs is the cheapest by the run sizes measured
+on the table. Pairs that reach the threshold link, and links of all passes together give the components. A
+link never leaves its component, so the links of a vector are then counted inside its component, in blocks.
 """
 
 from __future__ import annotations
@@ -16,7 +18,15 @@ from pyspark.sql import functions as F
 
 from flowlake.llm.components import components, stored
 
-PASSES, WINDOW, BITS, SEED = 24, 32, 64, 5
+SEED = 5
+#: Chance that no pass brings a pair exactly at the threshold together.
+MISS = 1e-6
+#: Signs a run may have, and passes in which run sizes are measured for each number of them.
+MAX_SIGNS, PROBES = 24, 3
+#: Vectors of a run compared in one task with as many others.
+RUN = 2048
+#: Cost of sending a vector to a task, in comparisons of two vectors.
+SEND = 1000
 #: Vectors of one component compared in one task with as many others.
 BLOCK = 256
 VECTORS = "vec_id long, dim int, vector binary"
@@ -50,61 +60,133 @@ def _by_dim(table):
     return [(np.flatnonzero(dims == d), int(d)) for d in np.unique(dims)]
 
 
-def _project(passes: int):
+def _signs(vectors: np.ndarray, passes: int, signs: int, salt: int = 0) -> np.ndarray:
+    """Signs of every vector (rows) in every pass (columns), packed into one number."""
+    dim = vectors.shape[1]
+    keys = np.zeros((len(vectors), passes), np.int64)
+    for turn in range(passes if signs else 0):
+        directions = np.random.default_rng([SEED, salt, turn, dim]).standard_normal((dim, signs))
+        keys[:, turn] = (vectors @ directions > 0) @ (1 << np.arange(signs, dtype=np.int64))
+    return keys
+
+
+def _run_sizes(passes: int, signs: int, salt: int = 0):
+    """(dim, turn, key, n) of the runs of a batch."""
+
+    def sizes(batches):
+        for batch in batches:
+            for rows, dim in _by_dim(batch):
+                keys = _signs(_matrix(batch.column(2).take(pa.array(rows)), dim), passes, signs, salt)
+                for turn in range(passes):
+                    key, n = np.unique(keys[:, turn], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(key), dim), pa.int32()), pa.array(np.full(len(key), turn), pa.int32()), pa.array(key), pa.array(n)],
+                        ["dim", "turn", "key", "n"],
+                    )
+
+    return sizes
+
+
+SIZES = "dim int, turn int, key long, n long"
+
+
+def passes_needed(threshold: float, signs: int, miss: float = MISS) -> float:
+    """Passes of so many signs after which a pair at the threshold is missed with a chance of ``miss``."""
+    agree = 1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    together = agree**signs
+    if together >= 1:
+        return 1
+    return float(np.ceil(np.log(miss) / np.log1p(-together))) if together > 0 else np.inf
+
+
+def plan_passes(usable: DataFrame, rows: int, threshold: float, miss: float = MISS) -> tuple[int, int]:
+    """(passes, signs) of least cost, by the run sizes that each number of signs has in a few passes."""
+    found = usable.mapInArrow(_run_sizes(PROBES, MAX_SIGNS, 1), SIZES).groupBy("dim", "turn", "key").agg(F.sum("n").alias("n"))
+    cut = found.withColumn("signs", F.explode(F.array(*map(F.lit, range(MAX_SIGNS + 1)))))
+    cut = cut.groupBy("dim", "turn", "signs", F.expr("key & (shiftleft(1L, signs) - 1)").alias("key")).agg(F.sum("n").alias("n"))
+    blocks = F.ceil(F.col("n") / RUN)
+    # a run in blocks sends each vector once a block; both sides of a pair of blocks are compared
+    cost = (F.col("n") * blocks * SEND + F.col("n").cast("double") * F.col("n") / 2) / PROBES
+    costs = {r.signs: r.cost for r in cut.groupBy("signs").agg(F.sum(cost).alias("cost")).collect()}
+    least = max(0, int(np.ceil(np.log2(max(rows, 1) / RUN))))  # no plan whose work is all pairs of a large table
+    fit = [k for k in costs if k >= least and np.isfinite(passes_needed(threshold, k, miss))] or [0]
+    signs = min(fit, key=lambda k: (passes_needed(threshold, k, miss) * costs.get(k, 0), k))
+    return int(passes_needed(threshold, signs, miss)), signs
+
+
+def _project(passes: int, signs: int):
     def project(batches):
         for batch in batches:
             for rows, dim in _by_dim(batch):
                 part = batch.take(pa.array(rows))
-                vectors = _matrix(part.column(2), dim)
+                keys = _signs(_matrix(part.column(2), dim), passes, signs)
                 for turn in range(passes):
-                    directions = np.random.default_rng([SEED, turn, dim]).standard_normal((dim, BITS))
-                    bits = np.packbits(vectors @ directions > 0, axis=1)
-                    keys = pa.array([b.tobytes() for b in bits], pa.binary())
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), turn), pa.int32()), keys, *part.columns], ["turn", "key", "vec_id", "dim", "vector"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(rows), turn), pa.int32()), pa.array(np.ascontiguousarray(keys[:, turn])), *part.columns],
+                        ["turn", "key", "vec_id", "dim", "vector"],
+                    )
 
     return project
 
 
-def _joins(parent: dict[int, int], x: int, y: int) -> bool:
-    """Whether a link between x and y connects what was apart; then it is so no more."""
-    for side in (x, y):
-        parent.setdefault(side, side)
-    while parent[x] != x:
-        parent[x] = x = parent[parent[x]]
-    while parent[y] != y:
-        parent[y] = y = parent[parent[y]]
-    parent[max(x, y)] = min(x, y)
-    return x != y
+def _reached(near: np.ndarray):
+    """(first, other) rows of the components of a symmetric matrix of links, without single rows."""
+    todo = near.any(1)
+    while todo.any():
+        first = int(todo.argmax())
+        seen = np.zeros(len(near), bool)
+        seen[first] = True
+        edge = np.array([first])
+        while len(edge):
+            fresh = near[edge].any(0) & ~seen
+            seen |= fresh
+            edge = np.flatnonzero(fresh)
+        todo &= ~seen
+        seen[first] = False
+        yield first, np.flatnonzero(seen)
+
 
+def _compare(threshold: float):
+    """What all pairs of a run, or of two blocks of it, connect; rows come sorted by run and block. Each
+    component is sent as a star: all links are counted later, so a crowd need not send each of them."""
 
-def _compare(threshold: float, window: int):
-    """Links between neighbours, without those that others of the batch imply; its last rows stay for
-    the next one. All links of a component are counted later, so a crowd need not send each of them."""
+    def linked(table: pa.Table):
+        ids, own = np.asarray(table["vec_id"]), np.asarray(table["own"])
+        vectors = _matrix(table["vector"], table["dim"][0].as_py())
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        near = np.zeros((len(ids), len(ids)), bool)
+        mine, others = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        for at in range(0, len(mine), 512):
+            rows = mine[at : at + 512]
+            near[np.ix_(rows, others)] = vectors[rows] @ vectors[others].T >= threshold
+        np.fill_diagonal(near, False)
+        near |= near.T
+        for first, rest in _reached(near):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rest), ids[first])), pa.array(ids[rest])], ["a", "b"])
 
     def compare(batches):
-        held = None
+        held = []
         for batch in batches:
-            for at in range(0, len(batch), 4096):
-                part = pa.Table.from_batches([batch.slice(at, 4096)])
-                fresh = 0 if held is None else len(held)
-                part = part if held is None else pa.concat_tables([held, part])
-                turns, ids = np.asarray(part["turn"]), np.asarray(part["vec_id"])
-                parent: dict[int, int] = {}
-                for rows, dim in _by_dim(part):
-                    vectors = _matrix(part["vector"].take(pa.array(rows)), dim)
-                    for step in range(1, min(window, len(rows) - 1) + 1):
-                        a, b = rows[:-step], rows[step:]
-                        near = np.flatnonzero((turns[a] == turns[b]) & (b >= fresh) & (ids[a] != ids[b]))
-                        cosine = np.einsum("ij,ij->i", vectors[near], vectors[near + step])
-                        hit = near[cosine >= threshold]
-                        links = [(x, y) for x, y in zip(ids[a[hit]].tolist(), ids[b[hit]].tolist()) if _joins(parent, x, y)]
-                        if links:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], ["a", "b"])
-                held = part.slice(max(0, len(part) - window))
+            group = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c))) for c in GROUP]) if len(batch) else np.zeros((len(GROUP), 0))
+            cuts = [0, *(np.flatnonzero((np.diff(group) != 0).any(0)) + 1).tolist(), len(batch)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                key = group[:, a].tolist()
+                if held and held[0][0] != key:
+                    yield from linked(pa.Table.from_batches([x for _, x in held]))
+                    held = []
+                held.append((key, batch.slice(a, b - a)))
+        if held:
+            yield from linked(pa.Table.from_batches([x for _, x in held]))
 
     return compare
 
 
+#: What one comparison is about: a run, and two blocks of it.
+GROUP = ("dim", "turn", "key", "lo", "hi")
+
+
 def _count(threshold: float):
     """Links of the vectors on the left side of each block pair with those on its right side."""
 
@@ -131,7 +213,7 @@ def _count(threshold: float):
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", passes: int = PASSES, window: int = WINDOW
+    vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", miss: float = MISS
 ) -> DataFrame:
     """(id_col, n_links, component_id, kept) of every row of ``vectors``.
 
@@ -144,10 +226,18 @@ def near_vectors(
     slim = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     once = slim.groupBy("vec_id").agg(F.min("v").alias("v"))
     usable = stored(once.mapInArrow(_usable, VECTORS), "vectors")
-    dealt = usable.mapInArrow(_project(passes), "turn int, key binary, " + VECTORS)
-    parts = max(24, -(-usable.count() * passes // 20_000))
-    dealt = dealt.repartitionByRange(parts, "dim", "turn", "key", "vec_id").sortWithinPartitions("dim", "turn", "key", "vec_id")
-    links = dealt.mapInArrow(_compare(threshold, window), "a long, b long")
+    rows = usable.count()
+    passes, signs = plan_passes(usable, rows, threshold, miss)
+    runs = usable.mapInArrow(_run_sizes(passes, signs), SIZES).groupBy("dim", "turn", "key").agg(F.sum("n").alias("n"))
+    full = stored(runs.where(F.col("n") > RUN).withColumn("blocks", F.ceil(F.col("n") / RUN).cast("int")).drop("n"), "vector-runs")
+    dealt = usable.mapInArrow(_project(passes, signs), "turn int, key long, " + VECTORS)
+    dealt = dealt.join(full, ["dim", "turn", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("blocks", "other")
+    parts = max(24, -(-rows * passes // 20_000))
+    dealt = dealt.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
+    links = dealt.mapInArrow(_compare(threshold), "a long, b long")
     found = stored(components(links).withColumnRenamed("id", "vec_id"), "vector-components")
 
     sizes = found.groupBy("component").agg(F.floor((F.count("*") + BLOCK - 1) / BLOCK).cast("int").alias("blocks"))

@@ -180,3 +180,33 @@ def test_near_vectors(spark, monkeypatch):
 def test_near_vectors_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vectors.near_vectors(empty).collect() == []
+
+
+@pytest.mark.parametrize("run", [64, 2048])
+def test_near_vectors_in_a_dense_table(spark, monkeypatch, run):
+    """A third of the rows lies around one centre: pairs at the threshold stand among many that are close
+    but no links, more than any bounded window over sorted signs reaches; runs larger than a block too."""
+    monkeypatch.setattr(vectors, "RUN", run)
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    hot = unit(unit(rng.standard_normal(64)) + 0.085 * rng.standard_normal((4000, 64)))
+    made = np.concatenate([hot, unit(rng.standard_normal((8000, 64)))])
+    picked = np.concatenate([np.arange(400), np.arange(4000, 4100)])
+    aside = rng.standard_normal((len(picked), 64))
+    aside = unit(aside - (aside * made[picked]).sum(1, keepdims=True) * made[picked])
+    made = np.concatenate([made, 0.905 * made[picked] + np.sqrt(1 - 0.905**2) * aside])
+    near = np.triu(made @ made.T >= 0.9, 1)
+    links = list(zip(*np.nonzero(near)))
+    want, degree = data.union_find(links, range(len(made))), near.sum(0) + near.sum(1)
+    assert len(links) >= 500
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(made)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame).collect()}
+    assert got == {k: (int(degree[k]), int(want[k])) for k in range(len(made))}
+
+
+def test_passes_follow_the_chance_of_a_miss():
+    agree = 1 - np.arccos(0.9) / np.pi
+    for signs in (1, 6, 14):
+        passes = vectors.passes_needed(0.9, signs)
+        assert (1 - agree**signs) ** passes <= vectors.MISS < (1 - agree**signs) ** (passes - 1)
+    assert vectors.passes_needed(0.9, 0) == 1
