@@ -5,7 +5,7 @@ language, four-letter counts give a Kneser-Ney model whose lower orders use cont
 languages share sorted arrays of hashed grams, one per order, with a column of log probabilities per
 language; grams that no language has seen add a back-off weight and go to the next order. The
 language of lowest cross-entropy per letter wins; its score is calibrated on texts kept out of the
-counts, and so is the cross-entropy beyond which a text is rejected.
+counts, and so is the cross-entropy beyond which a text is rejected, which depends on the text's length.
 """
 
 from __future__ import annotations
@@ -27,8 +27,11 @@ ORDER = 4
 FIT_TEXTS = 500
 #: Longer texts are scored in slices of so many characters.
 SLICE = 1 << 18
-#: A text is rejected when its cross-entropy passes the calibrated one by so many nats in total.
-REJECT_QUANTILE, REJECT_SLACK, REJECT_TOTAL = 0.999, 1.5, 30.0
+#: Texts may lie above their language's median as far as this quantile of calibration texts, in deviations of
+#: letters and of texts so many times the standard one.
+REJECT_QUANTILE, REJECT_SPREADS = 0.999, 4.0
+#: Positions of the stretches that tell how letters deviate, and calibration texts a spread of its own takes.
+STRETCH, LIMIT_TEXTS = 16, 20
 UNKNOWN = "und"
 
 
@@ -144,7 +147,7 @@ class LanguageModel:
     grams: list[Grams] = field(default_factory=list)  # by order from 1
     weights: list[Grams] = field(default_factory=list)  # back-off by context, by order from 1
     platt: tuple[float, float] = (0.0, 1.0)
-    limits: np.ndarray | None = None
+    limits: np.ndarray | None = None  # by language: median, spread of texts, spread of letters
 
     def ids(self, codes: np.ndarray) -> np.ndarray:
         table = getattr(self, "_table", None)
@@ -191,6 +194,11 @@ class LanguageModel:
             rest, full = rest[~found], full[~found]
         return logs
 
+    def limit(self, language: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Highest cross-entropy accepted of a text of ``count`` positions."""
+        middle, text, letter = self.limits[language].T
+        return middle + np.sqrt(text**2 + letter**2 / np.maximum(count, 1))
+
     def predict(self, texts: list[str]):
         """(language, score, rejected, cross-entropy) of every text."""
         if not self.languages:
@@ -200,7 +208,7 @@ class LanguageModel:
         lowest = entropy[np.arange(len(texts)), best]
         score = 1 / (1 + np.exp(-np.clip(self.platt[0] + self.platt[1] * _margin(entropy, count), -50, 50)))
         none = letters == 0
-        rejected = none | (count * (lowest - self.limits[best]) > REJECT_TOTAL)
+        rejected = none | (lowest > self.limit(best, count))
         return [UNKNOWN if n else self.languages[b] for b, n in zip(best, none)], np.where(none, 0.0, score), rejected, lowest
 
 
@@ -269,19 +277,49 @@ def fit_languages(docs: DataFrame, usable: Column | None = None, id_col: str = "
 
 
 def _calibrate(model: LanguageModel, sample: pa.Table) -> None:
-    model.limits = np.full(len(model.languages), np.inf)
+    # without any calibration text, a text must only be likelier than a blind guess
+    model.limits = np.tile([np.log(len(model.letters) + 2), 0.0, 0.0], (len(model.languages), 1))
     if not sample.num_rows:
         return
-    labels = sample["lang"].to_pylist()
-    entropy, count, letters = model.entropies(sample["text"].to_pylist())
+    labels, texts = np.array(sample["lang"].to_pylist(), object), sample["text"].to_pylist()
+    entropy, count, letters = model.entropies(texts)
     used = letters > 0
     right = np.array([model.languages[b] == lang for b, lang in zip(entropy.argmin(1), labels)])
-    if used.any():
-        model.platt = _platt(_margin(entropy, count)[used], right[used])
-    for k, lang in enumerate(model.languages):
-        own = [x for x, c, label in zip(entropy[:, k], count, labels) if label == lang and c >= 50]
-        if own:
-            model.limits[k] = np.quantile(own, REJECT_QUANTILE) + REJECT_SLACK
+    if not used.any():
+        return
+    model.platt = _platt(_margin(entropy, count)[used], right[used])
+    own = [np.flatnonzero(used & (labels == lang)) for lang in model.languages]
+    middles = [np.median(entropy[rows, k]) if len(rows) else None for k, rows in enumerate(own)]
+    highest = max(m for m in middles if m is not None)
+    above = [entropy[rows, k] - (middles[k] if len(rows) else 0) for k, rows in enumerate(own)]
+    stretches = [_stretches(model, k, [texts[x] for x in rows]) for k, rows in enumerate(own)]
+    over, length = np.concatenate(above), count[np.concatenate(own)]
+    for k, rows in enumerate(own):  # languages with few texts take the deviations of all together
+        pool = [k] if len(rows) >= LIMIT_TEXTS else range(len(own))
+        values = np.concatenate([stretches[x] for x in pool])
+        letter = REJECT_SPREADS * np.sqrt(STRETCH) * _spread(values) if len(values) else 0.0
+        # texts that mix languages are rare, so their quantile is that of all languages
+        beyond = np.sqrt(np.maximum(np.maximum(over, 0) ** 2 - letter**2 / length, 0))
+        text = _spread(np.concatenate([above[x] for x in pool]))
+        model.limits[k] = middles[k] if len(rows) else highest, max(np.quantile(beyond, REJECT_QUANTILE) + text, REJECT_SPREADS * text), letter
+
+
+def _spread(values: np.ndarray) -> float:
+    """Standard deviation as the upper half without its outliers has it."""
+    middle, upper = np.quantile(values, [0.5, 0.9])
+    return float(upper - middle) / 1.2816
+
+
+def _stretches(model: LanguageModel, k: int, texts: list[str]) -> np.ndarray:
+    """Cross-entropies of short stretches of each text under language ``k``, less the text's own."""
+    out = [np.zeros(0)]
+    for text in texts:
+        codes, firsts, _ = letter_codes([text[:SLICE]])
+        logs = -model._logs(model.ids(codes))[ORDER - 1 : int(firsts[1]), k].astype(np.float64)
+        whole = logs[: len(logs) // STRETCH * STRETCH]
+        if len(whole):
+            out.append(whole.reshape(-1, STRETCH).mean(1) - logs.mean())
+    return np.concatenate(out)
 
 
 def _code_points(batches):

@@ -1,6 +1,7 @@
 """Language identification, language-model scores and near vectors."""
 
 import itertools
+import os
 import random
 import zlib
 
@@ -48,6 +49,29 @@ def test_language_id_without_labels(spark):
     assert langid.identify(docs.limit(0), model).collect() == []
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test data is not here")
+@pytest.mark.parametrize("out", ["es", "fr"])
+def test_texts_of_a_language_left_out_of_the_fit_are_rejected(spark, out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text is not null")
+    model = langid.fit_languages(docs, (F.col("lang") != out) & (F.col("doc_id") % 4 != 2))
+    probe = docs.where((F.col("lang") == out) | (F.col("doc_id") % 4 == 2))
+    found = probe.select("doc_id", "lang").join(langid.identify(probe, model), "doc_id").collect()
+    unknown, known = [r for r in found if r.lang == out], [r for r in found if r.lang != out]
+    assert sum(r.rejected for r in unknown) >= 0.9 * len(unknown)
+    assert sum(r.rejected for r in known) <= 0.02 * len(known)
+
+
+def test_a_language_of_few_texts_has_a_limit(spark):
+    rng = random.Random(5)
+    rows = two_languages(rng, 240)
+    few = [(500 + k, "ko no wa ra yu " * 20 + "ko", "cc") for k in range(3)]  # none of them calibrates
+    docs = spark.createDataFrame([*rows, *few], "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    assert model.languages == ["aa", "bb", "cc"] and np.isfinite(model.limits).all()
+    _, _, rejected, _ = model.predict(["ko no wa ra yu " * 30, "ko xq zv wj kk qq nv rr " * 30])
+    assert rejected.tolist() == [False, True]
+
+
 def test_kneser_ney_is_a_distribution_and_arrays_agree():
     rng = np.random.default_rng(1)
     symbols = 6
