@@ -7,25 +7,22 @@ document as many rows as epochs take it, so a doc_id may repeat from there on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.llm.components import stored
 from flowlake.llm.decontam import decontaminate
 from flowlake.llm.jaccard import jaccard_classes
 from flowlake.llm.langid import fit_languages, known_language
-from flowlake.llm.mixing import mix_sources
+from flowlake.llm.mixing import mix_sources, word_count
 from flowlake.llm.queries import domain_column, table, tokenizer_path
 from flowlake.llm.token_files import read_token_files, write_token_files
 from flowlake.session import scratch_path
 
-#: Shares of the mixture; nodes not listed weigh 1. A third more tokens than the corpus
-#: has and no text more than twice, so that sources of about these shares stay whole.
-WEIGHTS = [
-    (["web"], 1.5), (["reference"], 1.0),
-    *(([domain, lang], weight) for domain in ("web", "reference") for lang, weight in (("en", 6.0), ("de", 1.5), ("fr", 1.5), ("es", 1.0))),
-    *((["web", lang, "src0"], 9.0) for lang in ("en", "de", "fr", "es")),
-]
+#: A node's weight is its supply of tokens times its name's factor, by level of the tree; other names count 1. The
+#: factors' product, at most 1.32, stays under SHARE: no leaf gets less than its supply, whatever the sources' shares.
+FACTORS = [{"reference": 1.2}, {"de": 1.1, "fr": 1.1, "es": 1.1}, {}]
+#: A third more tokens than the corpus has and no text more than twice.
 SHARE, EPOCHS = 1.35, 2
 
 
@@ -46,10 +43,26 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def supply_weights(docs: DataFrame, levels: list[Column]) -> DataFrame:
+    """(node, weight) of every node of the tree that has tokens: supply times factor."""
+    names = [f"l{k}" for k in range(len(levels))]
+    leaf_names = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(names, levels)]
+    leaves = docs.select(*leaf_names, word_count("text").alias("tokens")).groupBy(*names).agg(F.sum("tokens").cast("double").alias("supply"))
+    leaves, nodes = stored(leaves, "mix-supply"), None
+    for k, factors in enumerate(FACTORS):
+        factor = F.lit(1.0)
+        for name, value in factors.items():
+            factor = F.when(F.col(names[k]) == name, value).otherwise(factor)
+        level = leaves.groupBy(*names[: k + 1]).agg(F.sum("supply").alias("supply"))
+        level = level.select(F.array(*names[: k + 1]).alias("node"), (F.col("supply") * factor).alias("weight"))
+        nodes = level if nodes is None else nodes.union(level)
+    return stored(nodes, "mix-weights")
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop texts towards the weights; the last text of a leaf's prefix is taken whole."""
-    weights = spark.createDataFrame(WEIGHTS, "node array<string>, weight double")
-    mixed = mix_sources(docs, [domain_column(), F.col("lang"), F.col("source")], weights, SHARE, EPOCHS)
+    """Repeat texts towards the weights; the last text of a leaf's prefix is taken whole."""
+    levels = [domain_column(), F.col("lang"), F.col("source")]
+    mixed = mix_sources(docs, levels, supply_weights(docs, levels), SHARE, EPOCHS)
     copies = F.col("mix_copies") + (F.col("mix_prefix") > 0).cast("long")
     taken = mixed.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return taken.select(*docs.columns)

@@ -61,3 +61,14 @@ def test_stages(spark, tmp_path):
     before, after = kept["token files"]
     assert len(before) == len(after)
     assert sorted(r.doc_id for r in before) == sorted(r.doc_id for r in after)
+
+
+@pytest.mark.parametrize("hot", ["src1", "src2", "src7"])
+def test_mixture_drops_no_text_whatever_source_is_large(spark, hot):
+    """A third of the tokens in any one source, and a third under a fifth language or none."""
+    rows = [(k, "w " * (5 + k % 40), ["en", "de", "fr", "es", "it", None][k % 6], hot if k % 3 == 0 else f"src{k % 20}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    times = {r.doc_id: r["count"] for r in corpus_pipeline.mixture(spark, docs, SMALL).groupBy("doc_id").count().collect()}
+    assert set(times) == {r[0] for r in rows} and set(times.values()) <= {1, 2}
+    taken = sum(len(r[1].split()) * times[r[0]] for r in rows)
+    assert taken >= 1.34 * sum(len(r[1].split()) for r in rows)
