@@ -11,6 +11,7 @@ from flowlake.llm.hmm import score_texts
 from flowlake.llm.jaccard import jaccard_classes
 from flowlake.llm.langid import fit_languages, identify
 from flowlake.llm.mixing import mix_sources
+from flowlake.llm.pivots import pivot_clusters
 from flowlake.llm.substrings import substring_dedup
 from flowlake.llm.token_counts import token_counts
 from flowlake.llm.token_files import read_token_files, write_token_files
@@ -106,6 +107,11 @@ def op10_token_files(spark, sf_dir):
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_pivot_clusters(spark, sf_dir):
+    start = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
+    return pivot_clusters(table(spark, sf_dir, "embeddings"), start)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -117,6 +123,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_files": op10_token_files,
+    "op12_pivot_clusters": op12_pivot_clusters,
 }
 
 
@@ -159,6 +166,33 @@ SELECT doc_id, l0 AS domain, lang, source, tokens AS mix_tokens,
 FROM r"""
 
 
+def clusters_sql(count: int = 8, rounds: int = 10) -> str:
+    """The rounds spelled out; squared distances by exact sums of integers in doubles."""
+    distance = "list_inner_product(q, q) - 2 * list_inner_product(q, c) + list_inner_product(c, c)"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (SELECT vec_id, q, arg_min(n, (d, n)) AS n, CAST(min(d) AS BIGINT) AS d
+       FROM (SELECT vec_id, q, n, {distance} AS d FROM v, c{k}) GROUP BY vec_id, q)""")
+        if k < rounds:
+            steps.append(f"""
+s{k} AS (SELECT n, p, CAST(sum(x) AS BIGINT) AS s, count(*) AS k
+       FROM (SELECT n, unnest(q) AS x, unnest(range(len(q))) AS p FROM a{k}) GROUP BY n, p),
+m{k} AS (SELECT n, list(CAST((s - ((s % k) + k) % k) // k AS DOUBLE) ORDER BY p) AS c FROM s{k} GROUP BY n),
+c{k + 1} AS MATERIALIZED (SELECT c{k}.n, coalesce(m{k}.c, c{k}.c) AS c FROM c{k} LEFT JOIN m{k} USING (n))""")
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS n, q AS c
+    FROM (SELECT q, sha256('3:' || vec_id) AS h FROM v ORDER BY h LIMIT {count})),{",".join(steps)},
+t AS (SELECT n, CAST(sum(d) AS BIGINT) AS s FROM a{rounds} GROUP BY n)
+SELECT vec_id, CAST(n AS INTEGER) AS cluster, d AS distance, s AS cluster_inertia,
+       CAST((SELECT sum(d) FROM a{rounds}) AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN t USING (n) JOIN c{rounds} USING (n)"""
+
+
 #: Words of every text, numbered from 1 within a document.
 WORDS = r"""
     SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
@@ -220,6 +254,7 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(12 + r + 1 + x + 11) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
     "op1_mix_sources": mix_sql(),
+    "op12_pivot_clusters": clusters_sql(),
     "op3_near_vectors": """
 WITH RECURSIVE v AS (
     SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
