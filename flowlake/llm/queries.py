@@ -12,6 +12,7 @@ from flowlake.llm.jaccard import jaccard_classes
 from flowlake.llm.langid import fit_languages, identify
 from flowlake.llm.mixing import mix_sources
 from flowlake.llm.pivots import pivot_clusters
+from flowlake.llm.squares import periodic_runs
 from flowlake.llm.substrings import substring_dedup
 from flowlake.llm.token_counts import token_counts
 from flowlake.llm.token_files import read_token_files, write_token_files
@@ -107,6 +108,32 @@ def op10_token_files(spark, sf_dir):
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def looped_tails(docs):
+    """``documents`` with the last words of every tenth text, by hash, repeated from a place and at a period by hash."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.withColumn("g", F.floor(hashed / 10)).withColumn(
+        "ws", F.when((hashed % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    )
+    n, a, p = F.size("ws"), F.col("a"), F.col("p")
+    chosen = chosen.withColumn("a", (F.col("g") % n).cast("int"))
+    chosen = chosen.withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice("ws", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    looped = F.array_join(F.concat(F.slice("ws", 1, a), F.slice(tail, 1, n - a)), " ")
+    return chosen.select("doc_id", F.when(F.col("ws").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(looped_tails(table(spark, sf_dir, "documents")))
+    runs, r = F.col("runs"), F.col("best")
+    longer = lambda best, x: F.when(x["length"] * best["period"] > best["length"] * x["period"], x).otherwise(best)
+    listed = F.transform(runs, lambda x: F.concat_ws(",", x["start"], x["length"], x["period"]))
+    lines = F.when(F.size(runs) > 0, F.concat(F.array_join(listed, "\n"), F.lit("\n"))).otherwise("")
+    return found.withColumn("best", F.when(F.size(runs) > 0, F.aggregate(runs, runs[0], longer))).select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), r["start"].alias("start"), r["length"].alias("length"), r["period"].alias("period"),
+        F.floor(1000 * r["length"] / r["period"]).alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_pivot_clusters(spark, sf_dir):
     start = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")), 256)
     return pivot_clusters(table(spark, sf_dir, "embeddings"), start)
@@ -123,6 +150,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_files": op10_token_files,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_pivot_clusters": op12_pivot_clusters,
 }
 
