@@ -11,6 +11,7 @@ from flowlake.llm.hmm import score_texts
 from flowlake.llm.jaccard import jaccard_classes
 from flowlake.llm.langid import fit_languages, identify
 from flowlake.llm.mixing import mix_sources
+from flowlake.llm.phrases import phrase_dedup
 from flowlake.llm.pivots import pivot_clusters
 from flowlake.llm.squares import periodic_runs
 from flowlake.llm.substrings import substring_dedup
@@ -139,6 +140,11 @@ def op12_pivot_clusters(spark, sf_dir):
     return pivot_clusters(table(spark, sf_dir, "embeddings"), start)
 
 
+def op13_phrase_dedup(spark, sf_dir):
+    done = phrase_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -152,6 +158,7 @@ QUERIES = {
     "op10_token_files": op10_token_files,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_pivot_clusters": op12_pivot_clusters,
+    "op13_phrase_dedup": op13_phrase_dedup,
 }
 
 
@@ -239,6 +246,21 @@ x AS (SELECT doc_id, list(i) AS gone FROM r GROUP BY doc_id)
 SELECT n.doc_id, CAST(k AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
        sha256(coalesce(array_to_string(list_filter(ws, lambda w, j: NOT list_contains(coalesce(gone, []), j)), ' '), '')) AS kept_sha256
 FROM n LEFT JOIN x ON n.doc_id = x.doc_id""",
+    "op13_phrase_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS byte,
+             CASE WHEN 2 * p + 200 <= length(h) THEN md5(substr(h, 2 * p + 1, 200)) END AS g
+      FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM d)),
+o AS (SELECT g, min((doc_id, p)) AS first_at FROM b WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1),
+x AS (SELECT doc_id, p, byte, max(CASE WHEN first_at < (doc_id, p) THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id ORDER BY p ROWS 99 PRECEDING) AS gone
+      FROM b LEFT JOIN o USING (g)),
+y AS (SELECT *, gone > coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), 0) AS opens FROM x),
+k AS (SELECT doc_id, count(*) AS n_bytes, sum(gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+             string_agg(byte, '' ORDER BY p) FILTER (gone = 0) AS kept FROM y GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
     "op9_benchmark_decontamination": r"""
 WITH split AS (
     SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
