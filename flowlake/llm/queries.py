@@ -247,10 +247,9 @@ SELECT n.doc_id, CAST(k AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BI
        sha256(coalesce(array_to_string(list_filter(ws, lambda w, j: NOT list_contains(coalesce(gone, []), j)), ' '), '')) AS kept_sha256
 FROM n LEFT JOIN x ON n.doc_id = x.doc_id""",
     "op13_phrase_dedup": """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS byte,
-             CASE WHEN 2 * p + 200 <= length(h) THEN md5(substr(h, 2 * p + 1, 200)) END AS g
-      FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM d)),
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS h FROM documents),
+b AS (SELECT doc_id, p, hex(h[p + 1:p + 1]) AS byte, CASE WHEN p + 100 <= octet_length(h) THEN md5(h[p + 1:p + 100]) END AS g
+      FROM (SELECT doc_id, h, unnest(range(octet_length(h))) AS p FROM d)),
 o AS (SELECT g, min((doc_id, p)) AS first_at FROM b WHERE g IS NOT NULL GROUP BY g HAVING count(*) > 1),
 x AS (SELECT doc_id, p, byte, max(CASE WHEN first_at < (doc_id, p) THEN 1 ELSE 0 END)
              OVER (PARTITION BY doc_id ORDER BY p ROWS 99 PRECEDING) AS gone
