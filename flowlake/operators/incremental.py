@@ -118,17 +118,34 @@ def mark_processed(processed: DataFrame | None, days: DataFrame) -> DataFrame:
 
 
 def day_states(source: DataFrame, column: str) -> DataFrame:
-    """(fecha, state) of every day of a source: the state changes with any row that comes or goes.
+    """(fecha, state) of every day of a source: the state changes with any row that comes, goes or changes.
 
-    With provenance it is made of the row count and the files, else of whole rows.
+    It is made of whole rows, with their file where they have one, but for the time of loading: that
+    is another at every read.
     """
-    content = ["source_file"] if "source_file" in source.columns else [c for c in source.columns if c not in PARTS]
+    content = [c for c in source.columns if c not in (*PARTS, "loaded_at")]
     mark = F.pmod(F.xxhash64(*content), F.lit(1 << 31))
     return source.groupBy(day_key(as_day(source, column)).alias("fecha")).agg(
         F.concat_ws(":", F.count("*"), F.sum(mark)).alias("state")
     ).where("fecha is not null")
 
 
+def changed_days(states: DataFrame, logged: DataFrame | None, complete: bool) -> DataFrame:
+    """(fecha, state) of the days to build, and with a null state of those to forget.
+
+    A day is built when its state is not the logged one. It is forgotten when the log still has it and the
+    source says it is gone: by a null state, or, where the source is ``complete``, by having no row of it.
+    """
+    if logged is None:
+        return states.where("state is not null")
+    known = logged.select("fecha", F.col("state").alias("known"))
+    both = states.withColumn("told", F.lit(True)).join(known, "fecha", "full")
+    build = F.col("state").isNotNull() & ~F.col("state").eqNullSafe(F.col("known"))
+    told = F.col("told").isNotNull() | F.lit(complete)
+    forget = F.col("state").isNull() & F.col("known").isNotNull() & told
+    return both.where(build | forget).select("fecha", "state")
+
+
 def last_states(log: DataFrame) -> DataFrame:
     """The newest state of every day of a processed-day log."""
     return log.groupBy("fecha").agg(F.max_by("state", "processed_at").alias("state"))

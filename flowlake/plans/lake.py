@@ -4,104 +4,130 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlake.operators.incremental import day_states, last_states, mark_processed, needs_rebuild
+from flowlake.operators.incremental import changed_days, day_states, needs_rebuild
 from flowlake.plans.gravity import daily_pairs, fit_gravity_k, gravity_base_of, gravity_mismatch_of, latest_year
 from flowlake.plans.od import day_moments, od_hourly, od_quality, typical_day
 from flowlake.plans.zone_function import zone_function
-from flowlake.sinks.tables import append, replace, write_days
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None when nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def log_path(path: str) -> str:
-    """The processed-day log beside a daily table."""
-    return path.rstrip("/") + "_log"
+from flowlake.sinks.days import DayTable, DayVersions, day_table, read_table
+from flowlake.sinks.tables import replace
 
 
 def refresh_days(
     source: DataFrame,
     build: Callable[[list[str]], DataFrame],
-    path: str,
+    table: str | DayTable,
     column: str,
     start: str | None = None,
     end: str | None = None,
-    parent: str | None = None,
+    parent: str | DayTable | None = None,
+    complete: bool = False,
 ) -> list[str]:
-    """Build and write the days whose source state the log does not hold; returns them.
+    """Bring the days whose source has changed up to date, and forget those it lost; returns both.
 
-    A late row, or another file for a day, changes the day's state, and the whole day is written
-    anew. A day without valid rows is logged like others, so it is not built again. ``parent`` is the
-    daily table that ``source`` reads: its log then gives the states without a look at the rows. A
-    run that breaks off before it logs its days repeats them. Only the list of days comes to the
-    driver, one entry per calendar day.
+    A late row, a corrected value or another file changes a day's state, and the whole day is built
+    anew; where nothing valid is left the day loses its old rows. A day without valid rows is logged
+    like others, so it is not built again. ``complete`` says that ``source`` has all there is in the
+    range: days that are logged but missing there are then withdrawn. Otherwise a missing day is one the
+    source does not speak of.
+
+    ``parent`` is the daily table that ``source`` reads: its log then gives the states and the withdrawn days
+    without a look at the rows. A run that breaks off before it logs its days repeats them. Only the
+    list of days comes to the driver, one entry per calendar day.
     """
     spark = source.sparkSession
-    upstream = None if parent is None else read_table(spark, log_path(parent))
-    states = day_states(source, "fecha") if upstream is None else last_states(upstream)
+    table = day_table(spark, table)
+    if parent is None:
+        states = day_states(source, "fecha")
+    else:
+        states = day_table(spark, parent).states()
+        if states is None:
+            raise ValueError("the parent table has no log; refresh it first or leave the parent out")
+    fresh = changed_days(states, table.states(), complete)
     if start and end:
         day = F.to_date("fecha", "yyyyMMdd")
-        states = states.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    log = read_table(spark, log_path(path))
-    fresh = mark_processed(None if log is None else last_states(log), states)
+        fresh = fresh.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     rows = sorted(tuple(r) for r in fresh.select("fecha", "state").collect())
-    days = [day for day, _ in rows]
-    if days:
-        write_days(build(days), path, column)
-        seen = spark.createDataFrame(rows, "fecha string, state string")
-        append(seen.withColumn("processed_at", F.current_timestamp()).coalesce(1), log_path(path))
-    return days
+    days = [day for day, state in rows if state is not None]
+    if rows:
+        table.commit(build(days) if days else None, column, rows)
+    return [day for day, _ in rows]
+
+
+def pinned(od: DataFrame | DayVersions, parent: str | DayTable | None) -> tuple[DataFrame, str | DayTable | None]:
+    """A table of versions as one of them: rows and states that belong together."""
+    if isinstance(od, DayVersions):
+        version = od.at()
+        rows = version.read()
+        if rows is None:
+            raise ValueError("the table below has no version yet")
+        return rows, version
+    return od, parent
 
 
 def refresh_od(
-    od_raw: DataFrame, holidays: DataFrame, path: str, start: str | None = None, end: str | None = None
+    od_raw: DataFrame,
+    holidays: DataFrame,
+    path: str | DayTable,
+    start: str | None = None,
+    end: str | None = None,
+    complete: bool = False,
 ) -> list[str]:
     return refresh_days(
-        od_raw, lambda days: od_hourly(od_raw, holidays, days), path, "fecha", start, end
+        od_raw, lambda days: od_hourly(od_raw, holidays, days), path, "fecha", start, end, complete=complete
     )
 
 
-def refresh_quality(od: DataFrame, profile: DataFrame, path: str, parent: str | None = None) -> list[str]:
+def refresh_quality(
+    od: DataFrame | DayVersions, profile: DataFrame, path: str | DayTable, parent: str | DayTable | None = None
+) -> list[str]:
     """New days are scored against all flows present now; older days keep their scores.
 
     The scale comes from a table of moments beside the scores, so a run reads its own days of the fact
     and that table.
     """
-    moments = path.rstrip("/") + "_moments"
+    od, parent = pinned(od, parent)
+    table = day_table(od.sparkSession, path)
+    moments = table.beside("_moments")
     refresh_days(od, lambda days: day_moments(od, days), moments, "date", parent=parent)
 
     def scored(days: list[str]) -> DataFrame:
-        return od_quality(od, profile, days, od.sparkSession.read.parquet(moments))
+        return od_quality(od, profile, days, moments.read())
 
-    return refresh_days(od, scored, path, "fecha", parent=parent)
+    return refresh_days(od, scored, table, "fecha", parent=parent)
 
 
-def refresh_typical_day(od: DataFrame, path: str, parent: str | None = None) -> list[str]:
+def refresh_typical_day(
+    od: DataFrame | DayVersions, path: str | DayTable, parent: str | DayTable | None = None
+) -> list[str]:
+    od, parent = pinned(od, parent)
     return refresh_days(od, lambda days: typical_day(od, days), path, "date", parent=parent)
 
 
 def refresh_gravity(
-    od: DataFrame, zones: DataFrame, profile: DataFrame, path: str, parent: str | None = None
+    od: DataFrame | DayVersions,
+    zones: DataFrame,
+    profile: DataFrame,
+    path: str | DayTable,
+    parent: str | DayTable | None = None,
 ) -> list[str]:
     """Daily pair totals for the changed days, then the whole mismatch with the k they give now."""
-    pairs = path.rstrip("/") + "_pairs"
+    od, parent = pinned(od, parent)
+    spark = od.sparkSession
+    table = day_table(spark, path)
+    pairs = table.beside("_pairs")
     days = refresh_days(od, lambda days: daily_pairs(od, days), pairs, "date", parent=parent)
     if days:
-        daily = od.sparkSession.read.parquet(pairs).drop("year", "month", "day")
-        year = latest_year(daily, "date")
-        k = fit_gravity_k(gravity_base_of(daily, zones, profile, year)).first().k
-        write_days(gravity_mismatch_of(daily, zones, profile, k), path, "date")
+        daily = pairs.read()
+        frame = None
+        if daily is not None and not daily.isEmpty():
+            daily = daily.drop("year", "month", "day")
+            year = latest_year(daily, "date")
+            k = fit_gravity_k(gravity_base_of(daily, zones, profile, year)).first().k
+            frame = gravity_mismatch_of(daily, zones, profile, k)
+        table.commit(frame, "date", sorted(tuple(r) for r in pairs.states().select("fecha", "state").collect()))
     return days
 
 

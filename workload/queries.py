@@ -14,7 +14,7 @@ from flowlake.operators import distribution, incremental, joins, merge, picks
 from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
-from flowlake.sinks import tables
+from flowlake.sinks import days, tables
 from flowlake.sources import catalog, feed, files
 from flowlake.streaming import ingest
 from workload.sql import TABLES
@@ -616,21 +616,77 @@ def stream_and_batch(v: Views) -> DataFrame:
     return rounded(od.od_hourly(both, v.holiday()), viajes=4, viajes_km=4)
 
 
+def deliveries(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of the flows. The second adds rows to present days and new days, corrects the values of a
+    day, has nothing but external flows for another and no row of a third."""
+    raw = v.stored(v.od_raw(), "od-raw")
+    week = raw.where("fecha <= '20240107'")
+    emptied, withdrawn = (week.withColumn("fecha", F.lit(day)) for day in ("20231231", "20231230"))
+    wrong = raw.where("fecha = '20240110'").withColumn("viajes", F.lit("9"))
+    early = raw.where("fecha < '20240120' and fecha != '20240110' and destino < '2'")
+    first = early.union(wrong).union(emptied).union(withdrawn)
+    return first, raw.union(emptied.withColumn("origen", F.lit("externo")))
+
+
+def refreshed(v: Views, fact: str | days.DayVersions, above: Callable[[], object] = lambda: None) -> DataFrame:
+    """The fact and what stands above it after the first delivery, then after the second; the fact's first version."""
+    first, second = deliveries(v)
+    lake.refresh_od(first, v.holiday(), fact, complete=True)
+    above()
+    before = fact.at().read() if isinstance(fact, days.DayVersions) else None
+    lake.refresh_od(second, v.holiday(), fact, complete=True)
+    above()
+    if again := lake.refresh_od(second, v.holiday(), fact, complete=True):
+        raise ValueError(f"nothing changed, yet {again} were built")
+    return before
+
+
+def day_versions(v: Views, name: str) -> days.DayVersions:
+    return days.DayVersions(v.spark, scratch_path(v.spark, name))
+
+
 @query
 def refresh_days(v: Views) -> DataFrame:
-    """Some rows first; then late rows of present days, new days, and a day without valid rows."""
+    """The fact in a plain folder after late rows, a corrected, an emptied and a withdrawn day."""
     path = scratch_path(v.spark, "od-refreshed")
-    raw = v.stored(v.od_raw(), "od-raw")
-    outside = raw.limit(1).select(*[F.lit("20231231" if c == "fecha" else "externo" if c == "origen" else "1").alias(c) for c in raw.columns])
-    lake.refresh_od(raw.where("fecha < '20240120' and destino < '2'"), v.holiday(), path)
-    complete = raw.union(outside)
-    lake.refresh_od(complete, v.holiday(), path)
-    if again := lake.refresh_od(complete, v.holiday(), path):
-        raise ValueError(f"nothing changed, yet {again} were built")
+    refreshed(v, path)
     table = v.spark.read.parquet(path).drop(*incremental.PARTS)
     return rounded(table, viajes=4, viajes_km=4)
 
 
+@query
+def refresh_versions(v: Views) -> DataFrame:
+    """The same in a table of versions; the newest is read."""
+    fact = day_versions(v, "od-versions")
+    refreshed(v, fact)
+    return rounded(fact.read().drop(*incremental.PARTS), viajes=4, viajes_km=4)
+
+
+@query
+def version_before_refresh(v: Views) -> DataFrame:
+    """The version that the first delivery made, read after the second."""
+    return rounded(refreshed(v, day_versions(v, "od-before")).drop(*incremental.PARTS), viajes=4, viajes_km=4)
+
+
+@query
+def refresh_typical_day(v: Views) -> DataFrame:
+    """Typical days above the versions of the fact: they follow its log, also where it forgets."""
+    fact, typical = day_versions(v, "od-typical"), day_versions(v, "typical-versions")
+    refreshed(v, fact, lambda: lake.refresh_typical_day(fact, typical))
+    return rounded(typical.read().drop(*incremental.PARTS), avg_trips=4, avg_km=4)
+
+
+@query
+def refresh_quality(v: Views) -> DataFrame:
+    """Quality scores above the versions of the fact, with their moments."""
+    fact, scores = day_versions(v, "od-quality"), day_versions(v, "quality-versions")
+    profile = v.stored(v.profile(), "profile")
+    refreshed(v, fact, lambda: lake.refresh_quality(fact, profile, scores))
+    return rounded(
+        scores.read().drop(*incremental.PARTS), viajes_per_capita=15, km_per_capita=15, z_viajes_per_capita=4
+    )
+
+
 @query
 def day_table(v: Views) -> DataFrame:
     """Daily table written twice, read back for a range of days."""
