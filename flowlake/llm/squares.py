@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.llm.tasks import pieces, small_batches
-from flowlake.llm.words import U64, Words, mix, split_words
+from flowlake.llm.words import U64, mix, split_words, word_array
 
 SMALLEST = 8
 LEAST_WORDS, LEAST_PERIODS = 24, 3
@@ -31,15 +31,6 @@ STEP = 0x1B873593CC9E2D51 % PRIME
 RUNS = "array<struct<start: long, length: long, period: long>>"
 
 
-def word_array(words: Words) -> pa.Array:
-    """The words of all texts as one Arrow column."""
-    sizes = words.end - words.start
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    total = int(offsets[-1])
-    source = np.repeat(words.start - offsets[:-1], sizes) + np.arange(total)
-    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.tobytes()), pa.py_buffer(words.data[source].tobytes()))
-
-
 def _times(a, b):
     """Products modulo 2**61 - 1."""
     low, half = U64((1 << 31) - 1), U64(31)

@@ -10,13 +10,16 @@ where they are local or mounted, and read ranges elsewhere.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from functools import cache
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,75 +27,173 @@ from tokenizers import Tokenizer
 
 from flowlake.llm.components import stored
 from flowlake.llm.tasks import pieces, small_batches
+from flowlake.llm.words import Words, split_words, word_array
 
-SHARD_BYTES = 12 << 20
-#: Words kept between batches by one Python worker.
-KNOWN_WORDS = 500_000
+#: Shards have this size until there are MAX_SHARDS of them, and grow with the corpus from there on.
+SHARD_BYTES, MAX_SHARDS = 12 << 20, 50_000
+#: Text encoded at once, and words kept between batches by one Python worker.
+PIECE, KNOWN_WORDS = 1 << 21, 600_000
 NO_ID = np.iinfo(np.int64).min
 MANIFEST = "shard int, name string, width int, documents long, tokens long"
+#: Normalizers that work on each character run by itself, so a cut at white space changes nothing.
+LOCAL = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+
+
+def drops_spaces(tokenizer: str) -> bool:
+    """Whether a tokenizer file says that white space parts words and makes no token itself."""
+    parts = json.loads(tokenizer)
+
+    def parted(step):
+        if step["type"] == "Split" and step["behavior"] == "Removed" and step["invert"]:
+            pattern = step["pattern"].get("Regex")
+            return pattern is not None and not any(regex.search(pattern, space) for space in " \t\n\v\f\r")
+        return step["type"] in ("Whitespace", "WhitespaceSplit")
+
+    def local(step):
+        return step["type"] in LOCAL or step == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+
+    first = _steps(parts["pre_tokenizer"], "pretokenizers")[:1]
+    plain = all(not t["lstrip"] and not t["rstrip"] and not re.search(r"\s", t["content"]) for t in parts["added_tokens"])
+    return plain and all(map(local, _steps(parts["normalizer"], "normalizers"))) and bool(first) and parted(first[0])
+
+
+SIGNS = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
+
+
+def cuts_signs(tokenizer: str) -> bool:
+    """Whether a tokenizer file lowers letters and parts a word of letters from the signs after it."""
+    parts = json.loads(tokenizer)
+    lowers = parts["normalizer"] is not None and any(step == {"type": "Lowercase"} for step in _steps(parts["normalizer"], "normalizers"))
+    first = _steps(parts["pre_tokenizer"], "pretokenizers")[0]
+    if not lowers or first["type"] != "Split" or parts["model"]["type"] != "BPE" or parts["model"].get("dropout"):
+        return False
+    cut = lambda word: regex.findall(first["pattern"]["Regex"], word)
+    return all(cut(letters + tail) == [letters, tail] for letters in ("ab", "z", "né") for tail in (*SIGNS, SIGNS, SIGNS[::-1]))
+
+
+def _steps(part, inner: str) -> list:
+    """The steps of a normalizer or pre-tokenizer, without nesting."""
+    if part is None:
+        return []
+    return [x for p in part[inner] for x in _steps(p, inner)] if part["type"] == "Sequence" else [part]
+
+
+@cache
+def _classes():
+    """ASCII letters, ASCII signs, and last bytes of the letters from U+00C0 to U+00FF."""
+    letter, sign, latin = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+    letter[[*range(65, 91), *range(97, 123)]] = True
+    sign[[ord(c) for c in SIGNS]] = True
+    latin[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = True  # without the two signs of arithmetic
+    return letter, sign, latin
+
+
+def split_signs(words: Words) -> Words:
+    """Cut tails of ASCII signs off words whose letters end there, and lower words of ASCII letters.
+
+    A word with a < stays as it is: it may hold a special token.
+    """
+    letter, sign, latin = _classes()
+    data, start, end = words.data, words.start, words.end
+    if not len(start):
+        return words
+    signs, letters = sign[data], np.concatenate([[0], np.cumsum(letter[data], dtype=np.int32)])
+    last = np.maximum.accumulate(np.where(signs, 0, np.arange(1, len(data) + 1, dtype=np.int32)))
+    cut = np.maximum(last[end - 1], start)
+    before, lead = data[np.maximum(cut - 1, 0)], data[np.maximum(cut - 2, 0)]
+    ends = letter[before] | (latin[before] & (lead == 0xC3) & (cut - 2 >= start))
+    cut = np.where(ends & (cut > start), cut, end)
+    special = data == 0x3C
+    if special.any():
+        held = np.concatenate([[0], np.cumsum(special, dtype=np.int32)])
+        cut = np.where(held[end] > held[start], end, cut)
+    plain = letters[cut] - letters[start] == cut - start
+    tails = cut < end
+    place = np.arange(len(start)) + np.cumsum(tails) - tails
+    total = len(start) + int(tails.sum())
+    low, high = np.empty(total, start.dtype), np.empty(total, start.dtype)
+    low[place], high[place] = start, cut
+    low[place[tails] + 1], high[place[tails] + 1] = cut[tails], end[tails]
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[start[plain]] += 1
+    edge[cut[plain]] -= 1
+    lowered = data | ((np.cumsum(edge[:-1], dtype=np.int8) > 0) & (data < 91) & letter[data]).astype(np.uint8) << 5
+    return Words(lowered, low, high, words.hash, np.append(place, total)[words.first])
 
 
 class WordEncoder:
-    """Ids of texts for a tokenizer that drops white space and never joins across it.
+    """Ids of texts.
+
+    A tokenizer that drops white space gets every distinct word once while it is remembered: texts are cut at
+    bytes 0x20 and 0x09 to 0x0D, Arrow numbers the distinct words of a batch, and the ids of all
+    words are gathered by these numbers. Any other tokenizer gets the texts whole.
 
-    Texts are cut at spaces and line ends, and a distinct word is encoded once while it is remembered.
-    Words of ASCII letters alone, before a tail of full stops and commas, go in lower case straight to the
-    merges of a tokenizer that lower-cases, as no other step of it changes them. Words with other letters are encoded
-    many in one call: each ends with the one token that closes a word, and a call whose closing tokens
-    are not as many as its words is done again word by word.
+    Where the tokenizer's file says so, a tail of ASCII signs after a letter is a word of its own, and words of
+    ASCII letters are lowered with the bytes of the batch and go straight to the merges, as no other step changes them. Words
+    with other letters are encoded many in one call: each ends with the one token that closes a word, and
+    a call whose closing tokens are not as many as its words is done again word by word.
     """
 
     def __init__(self, text: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.encoder, self.kind, self.known = Tokenizer.from_str(text), kind, {}
+        self.words = drops_spaces(text)
+        self.lowers = self.words and cuts_signs(text)
         self._merges = self.encoder.model.tokenize
         vocabulary = self.encoder.get_vocab(with_added_tokens=True)
         suffix = getattr(self.encoder.model, "end_of_word_suffix", None)
-        self.lowers = [t.id for t in self._merges("abcxyz")] == self.encoder.encode("AbcXYZ", add_special_tokens=False).ids
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.closes[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        """Ids of each text, little-endian."""
+        ids, counts = self.ids(pa.array(texts, pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
+
+    def ids(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of an Arrow column, one after the other, and how many each text has."""
+        if not self.words:
+            found = self.encoder.encode_batch_fast([t or "" for t in column.to_pylist()], add_special_tokens=False)
+            ids = [np.array(f.ids, self.kind) for f in found]
+            return np.concatenate([np.zeros(0, self.kind), *ids]), np.array([len(x) for x in ids], np.int64)
+        words = split_words(column, hashed=False)
+        words = split_signs(words) if self.lowers else words
+        numbered = word_array(words).dictionary_encode()
+        distinct = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        code = numbered.indices.to_numpy()
         known = self.known
-        missing = set().union(*cut).difference(known)
+        missing = [word for word in distinct if word not in known]
         self._learn(missing)
-        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        coded = list(map(known.__getitem__, distinct))
         if len(known) > KNOWN_WORDS:
             known.clear()
         else:
             for word in missing:
-                if len(word) > 64:  # neither it nor its core is worth the room
-                    known.pop(word, None)
-                    known.pop(self._core(word), None)
-        return out
-
-    def _core(self, word: str) -> str:
-        core = word.rstrip(".,")
-        return core.lower() if self.lowers and core.isascii() else core
-
-    def _learn(self, words: set[str]) -> None:
-        cores, tails, plain = {}, set(), []
+                if len(word) > 64:  # not worth the room
+                    del known[word]
+        flat = np.frombuffer(b"".join(coded), self.kind)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // flat.itemsize
+        first = np.cumsum(sizes) - sizes
+        count = sizes[code]
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = flat[np.repeat(first[code] - ends + count, count) + np.arange(total)]
+        return ids, np.diff(np.concatenate([[0], ends])[words.first])
+
+    def _learn(self, words: list[str]) -> None:
+        known, merges, kind = self.known, self._merges, self.kind
+        letters, rest = [], []
         for word in words:
-            core = self._core(word)
-            if core.isalpha() and core.lower().isalpha():
-                tail = word[len(core) :]
-                cores[word] = core, tail
-                tails.add(tail)
+            if self.lowers and word.isascii() and word.isalpha():
+                known[word] = np.array([t.id for t in merges(word.lower())], kind).tobytes()
+            elif word.isalpha() and word.lower().isalpha():
+                letters.append(word)
             else:
-                plain.append(word)
-        known = self.known
-        fresh = list({c for c, _ in cores.values()}.difference(known))
-        if self.lowers:
-            for core in filter(str.isascii, fresh):
-                known[core] = np.array([t.id for t in self._merges(core)], self.kind).tobytes()
-            fresh = [c for c in fresh if not c.isascii()]
-        for at in range(0, len(fresh), 500):
-            self._together(fresh[at : at + 500])
-        self._each([*plain, *tails.difference(known)])
-        for word, (core, tail) in cores.items():
-            known[word] = known[core] + known[tail] if tail else known[core]
+                rest.append(word)
+        for at in range(0, len(letters), 500):
+            self._together(letters[at : at + 500])
+        self._each(rest)
 
     def _together(self, words: list[str]) -> None:
         ids = np.array(self.encoder.encode(" ".join(words), add_special_tokens=False).ids, self.kind)
@@ -131,8 +232,8 @@ def write_token_files(
 ) -> DataFrame:
     """Encode every text, append ``end_id``, write the shards; the manifest, one row per shard.
 
-    ``tokenizer`` is the path of a tokenizer file that drops white space. Null and empty texts are the
-    end id alone; repeated rows are written again; rows with a null id come first. Other columns are
+    ``tokenizer`` is the path of a tokenizer file; one that drops white space is much faster. Null and
+    empty texts are the end id alone, a text longer than a batch is encoded as a whole; repeated rows are written again; rows with a null id come first. Other columns are
     ignored. An empty table gives no shard. ``path`` lies in storage that all executors reach.
     """
     vocabulary = Path(tokenizer).read_text()
@@ -141,10 +242,9 @@ def write_token_files(
     small_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total_bytes = slim.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    shards = max(24, -(-total_bytes // shard_bytes))
+    shards = max(24, min(MAX_SHARDS, -(-total_bytes // shard_bytes)))
     tie = F.xxhash64("text")
     dealt = slim.repartitionByRange(shards, F.col("id"), tie).sortWithinPartitions("id", tie, "text")
-    end = np.array([end_id], kind).tobytes()
     width = np.dtype(kind).itemsize
 
     def write(batches):
@@ -154,16 +254,15 @@ def write_token_files(
         fs, folder = _file_system(path)
         encoder = word_encoder(vocabulary, kind)
         offsets, ids, out, total = [np.zeros(1, np.uint64)], [], None, 0
-        for piece in pieces(batches, "text", 1 << 19):
+        for piece in pieces(batches, "text", PIECE):
             if out is None:
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(f"{folder}/{name}.ids")
             column = piece.column(0)
             ids.append(np.asarray(column.fill_null(int(NO_ID))).astype("<i8"))
-            coded = encoder.encode([t or "" for t in piece.column(1).to_pylist()])
-            out.write(end.join(coded) + end)
-            counts = np.array([len(c) // width + 1 for c in coded], np.uint64)
-            offsets.append(total + np.cumsum(counts, dtype=np.uint64))
+            coded, counts = encoder.ids(piece.column(1))
+            out.write(np.insert(coded, np.cumsum(counts), end_id).astype(kind, copy=False).tobytes())
+            offsets.append(total + np.cumsum(counts.astype(np.uint64) + np.uint64(1), dtype=np.uint64))
             total = int(offsets[-1][-1])
         if out is None:
             return
@@ -181,7 +280,7 @@ def write_token_files(
 
 def with_bases(manifest: DataFrame, path: str) -> DataFrame:
     """Add ``base``, the ids of all shards before, and write the manifest beside the shards."""
-    rows = sorted(manifest.collect())  # one row per shard
+    rows = sorted(manifest.collect())  # one row per shard, MAX_SHARDS at most
     bases = np.concatenate([[0], np.cumsum([r.tokens for r in rows])]).tolist()
     spark = manifest.sparkSession
     full = spark.createDataFrame([(*r, b) for r, b in zip(rows, bases)], MANIFEST + ", base long")

@@ -96,7 +96,7 @@ def column_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(column, lower: bool = False, seed: int = 1) -> Words:
+def split_words(column, lower: bool = False, seed: int = 1, hashed: bool = True) -> Words:
     """Words of every text. ``lower`` folds A-Z only, for the hashes; the bytes stay as they are."""
     data, offsets = column_bytes(column)
     inside = _inside()[data]
@@ -111,7 +111,17 @@ def split_words(column, lower: bool = False, seed: int = 1) -> Words:
         after[offsets[1:][offsets[1:] > 0] - 1] = False
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
-    return Words(data, start, end, _hashes(data, start, end, lower, seed), np.searchsorted(start, offsets))
+    hashes = _hashes(data, start, end, lower, seed) if hashed else np.zeros(0, U64)
+    return Words(data, start, end, hashes, np.searchsorted(start, offsets))
+
+
+def word_array(words: Words) -> pa.Array:
+    """The words of all texts as one Arrow column."""
+    sizes = words.end - words.start
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    total = int(offsets[-1])
+    source = np.repeat(words.start - offsets[:-1], sizes) + np.arange(total)
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets.tobytes()), pa.py_buffer(words.data[source].tobytes()))
 
 
 def _hashes(data, start, end, lower, seed) -> np.ndarray:

@@ -51,6 +51,30 @@ def test_token_files(spark, made, tmp_path):
     assert crc == zlib.crc32(dict(ids[:10]).get(0) and np.array(dict(ids)[0], "<u4").tobytes())
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_tokenizer_and_texts_beyond_a_batch(spark, tmp_path, name, monkeypatch):
+    """Texts are whole for a tokenizer that keeps white space, and a long text is one text."""
+    text = open(P.path(name)).read()
+    assert token_files.drops_spaces(text) == name.startswith("word")
+    long = "words and, more\tof  them\n" * 100_000
+    assert len(long) > token_files.PIECE
+    made = [(1, "hi there"), (2, long), (3, None), (4, ""), (5, " x  y "), (6, "end")]
+    path = str(tmp_path / "out")
+    token_files.write_token_files(spark.createDataFrame(made, "doc_id long, text string"), path, P.path(name), end_id=1)
+    encoder = Tokenizer.from_str(text)
+    want = [(k, np.array([*encoder.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for k, t in made]
+    assert sorted((r.doc_id, bytes(r.ids)) for r in token_files.read_token_files(spark, path).collect()) == want
+
+
+def test_shards_grow_past_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_files, "MAX_SHARDS", 30)
+    docs = spark.createDataFrame([(k, "a b") for k in range(500)], "doc_id long, text string")
+    manifest = token_files.write_token_files(docs, str(tmp_path / "out"), P.path("word_bpe_49k.json"), 1, shard_bytes=10)
+    assert manifest.count() <= 30
+    got = token_files.read_token_files(spark, str(tmp_path / "out")).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(k, 3 * k, 3) for k in range(500)]
+
+
 def test_token_files_of_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     token_files.write_token_files(spark.createDataFrame([], data.SCHEMA), path, P.path("word_bpe_49k.json"), end_id=1)
