@@ -86,6 +86,55 @@ def od_hourly(
     )
 
 
+def hourly_windows(od_raw: DataFrame, delay: str) -> DataFrame:
+    """The hourly fact of a stream, with the rows behind each figure (``n_rows``) and without day flags.
+
+    Every hour is open until the newest hour seen, of any row, lies ``delay`` past its end; then its rows leave the
+    state, once and for good. Rows that come later than that, and rows without an hour, count nowhere
+    (see :func:`late_rows`). The state holds one row per open hour and key.
+    """
+    at = add_hours(day_stamp(od_raw), F.col("periodo").cast("int")).cast("timestamp")
+    marked = od_raw.withColumn("at", at).withWatermark("at", delay)
+    # The hour is part of the condition, so that rows left out move the watermark as well.
+    kept = marked.where(F.when(_complete(), F.col("at")).isNotNull())
+    hours = kept.groupBy(
+        F.window("at", "1 hour").alias("hour"),
+        F.col("origen").alias("origen_zone_id"),
+        F.col("destino").alias("destino_zone_id"),
+        "residencia",
+    ).agg(
+        F.sum(F.col("viajes").cast("double")).alias("viajes"),
+        F.sum(F.col("viajes_km").cast("double")).alias("viajes_km"),
+        F.count("*").alias("n_rows"),
+    )
+    return hours.select(F.col("hour.start").cast("timestamp_ntz").alias("fecha"), *hours.columns[1:])
+
+
+def with_day_flags(hours: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Hourly rows with the weekend and holiday flags of their day."""
+    days = holidays.select("date", F.lit(True).alias("is_holiday"))
+    dated = hours.withColumn("date", F.to_date("fecha"))
+    flagged = lookup_join(dated, days, {"date": "date"}, "left").drop("date")
+    return flagged.withColumns(
+        {"is_weekend": is_weekend(F.col("fecha")), "is_holiday": F.coalesce("is_holiday", F.lit(False))}
+    )
+
+
+def late_rows(od_raw: DataFrame, hours: DataFrame) -> DataFrame:
+    """(fecha, n_late): complete rows of the source that came when their hour was closed, by day.
+
+    ``hours`` is what a stream wrote with ``n_rows``. Hours close in order, so up to the newest one written
+    every row that is in no figure was late; later hours are still open.
+    """
+    newest = hours.agg(F.max("fecha").alias("at")).first().at
+    at = add_hours(day_stamp(od_raw), F.col("periodo").cast("int"))
+    closed = at <= F.lit(newest).cast("timestamp_ntz")
+    given = od_raw.where(_complete() & closed).groupBy(day_key(at).alias("fecha")).agg(F.count("*").alias("given"))
+    counted = hours.groupBy(day_key(F.col("fecha")).alias("fecha")).agg(F.sum("n_rows").alias("counted"))
+    late = F.col("given") - F.coalesce("counted", F.lit(0))
+    return given.join(counted, "fecha", "left").select("fecha", late.alias("n_late")).where("n_late > 0")
+
+
 def _number(tolerant: bool):
     def cast(name: str, kind: str) -> Column:
         return F.col(name).try_cast(kind) if tolerant else F.col(name).cast(kind)
