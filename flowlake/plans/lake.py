@@ -11,8 +11,9 @@ from flowlake.operators.incremental import changed_days, day_states, needs_rebui
 from flowlake.plans.gravity import daily_pairs, fit_gravity_k, gravity_base_of, gravity_mismatch_of, latest_year
 from flowlake.plans.od import day_moments, od_hourly, od_quality, typical_day
 from flowlake.plans.zone_function import zone_function
-from flowlake.sinks.days import DayTable, DayVersions, day_table, read_table
+from flowlake.sinks.days import DayTable, DayVersions, day_table
 from flowlake.sinks.tables import replace
+from flowlake.sinks.versions import read_table
 
 
 def refresh_days(

@@ -6,11 +6,7 @@ source has the day no more. Days come one entry each, so lists of days are bound
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,19 +14,9 @@ from flowlake.functions.temporal import date_parts
 from flowlake.operators.incremental import PARTS, as_day
 from flowlake.sinks.folders import names, remove
 from flowlake.sinks.tables import append, write_days
+from flowlake.sinks.versions import PartVersions, read_table
 
 LOG = "fecha string, state string"
-COMMITS = "version long, fecha string, state string, folder string, schema string, committed_at timestamp"
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at a path, or None when nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
 
 
 def day_folder(fecha: str) -> str:
@@ -72,112 +58,40 @@ class DayFolder:
         append(seen.withColumn("processed_at", F.current_timestamp()).coalesce(1), self.path + "_log")
 
 
-class DayVersions:
-    """A daily table whose commits never touch a file that a reader may read.
+class DayVersions(PartVersions):
+    """A daily table of versions: see :class:`PartVersions`; its parts are days as ``yyyyMMdd`` text."""
 
-    A commit writes its days into a folder of its own, then one small file into ``_commits`` that names, for
-    every day it touched, the folder, or none for a day without rows. That file, which appears at once, is both data
-    switch and log: a reader sees the commit whole or not at all, and a run that breaks off before it leaves
-    an unnamed folder, no change. Older versions stay readable until :meth:`vacuum`. One writer at a
-    time; of two that race, each day is the later file's.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, pinned: int | None = None):
-        self.spark, self.path, self.pinned = spark, path.rstrip("/"), pinned
+    #: Column that tells the day; a commit sets it.
+    column = ""
 
     def beside(self, suffix: str) -> DayVersions:
-        return DayVersions(self.spark, self.path + suffix)
-
-    def commits(self) -> DataFrame:
-        """Rows of all commits up to the pinned one; empty before the first."""
-        found = read_table(self.spark, f"{self.path}/_commits")
-        if found is None:
-            return self.spark.createDataFrame([], COMMITS)
-        return found if self.pinned is None else found.where(F.col("version") <= self.pinned)
+        return type(self)(self.spark, self.path + suffix)
 
-    def version(self) -> int:
-        """Number of the newest commit, 0 before the first."""
-        return self.commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    def part_folder(self, part: str) -> str:
+        return day_folder(part)
 
-    def at(self, version: int | None = None) -> DayVersions:
-        """The table as one commit left it, by default the newest: later ones do not show."""
-        return DayVersions(self.spark, self.path, self.version() if version is None else version)
+    def part_name(self) -> Column:
+        return F.date_format(F.make_date(*PARTS), "yyyyMMdd")
 
-    def days(self) -> DataFrame:
-        """(fecha, state, folder) of every day committed so far."""
-        newest = F.max_by(F.struct("state", "folder"), F.struct("version", "committed_at")).alias("d")
-        return self.commits().groupBy("fecha").agg(newest).select("fecha", "d.state", "d.folder")
+    def write_parts(self, frame: DataFrame, folder: str) -> T.StructType:
+        write_days(frame, folder, self.column)
+        return frame.select("*", *date_parts(as_day(frame, self.column))).schema
 
     def states(self) -> DataFrame | None:
-        days = self.days()
-        return None if days.isEmpty() else days.select("fecha", "state")
+        parts = self.parts()
+        return None if parts.isEmpty() else parts.select(F.col("part").alias("fecha"), "state")
 
     def read(self, start: str | None = None, end: str | None = None) -> DataFrame | None:
-        """Rows of all days, or of a closed range of ISO days; only their files are listed.
-
-        None before the first commit; a table whose days are all empty has its columns and no rows.
-        """
-        schema = self.commits().where("schema is not null").agg(F.max_by("schema", "version").alias("s")).first().s
-        if schema is None:
-            return None
-        live = self.days().where("folder is not null")
+        """Rows of all days, or of a closed range of ISO days; only their files are listed."""
+        wanted = None
         if start and end:
-            live = live.where(F.to_date("fecha", "yyyyMMdd").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-        kind, root = T.StructType.fromJson(json.loads(schema)), f"{self.path}/data"
-        paths = sorted(f"{root}/commit={d.folder}/{day_folder(d.fecha)}" for d in live.select("fecha", "folder").collect())
-        if not paths:
-            return self.spark.createDataFrame([], kind)
-        return self.spark.read.schema(kind).option("basePath", root).parquet(*paths).drop("commit")
-
-    def stage(self, frame: DataFrame, column: str) -> str:
-        """Write the days of a commit where nobody reads yet; the folder's name."""
-        folder = uuid.uuid4().hex
-        write_days(frame, f"{self.path}/data/commit={folder}", column)
-        return folder
-
-    def publish(self, folder: str | None, schema: T.StructType | None, rows: list[tuple[str, str | None]]) -> None:
-        """Write the commit file; from then on readers see the listed days as ``folder`` has them."""
-        filled = set()
-        if folder is not None:
-            staged = self.spark.read.schema(schema).parquet(f"{self.path}/data/commit={folder}")
-            made = staged.select(F.date_format(F.make_date(*PARTS), "yyyyMMdd").alias("fecha")).distinct()
-            filled = {r.fecha for r in made.collect()}
-        if strange := filled - {fecha for fecha, _ in rows}:
-            raise ValueError(f"rows of days that the commit does not list: {sorted(strange)}")
-        text, number = schema and schema.json(), self.version() + 1
-        named = [(number, fecha, state, folder if fecha in filled else None, text, None) for fecha, state in rows]
-        commit = self.spark.createDataFrame(named, COMMITS).withColumn("committed_at", F.current_timestamp())
-        append(commit.coalesce(1), f"{self.path}/_commits")
+            wanted = F.to_date("part", "yyyyMMdd").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        return self.read_parts(wanted)
 
     def commit(self, frame: DataFrame | None, column: str, rows: list[tuple[str, str | None]]) -> None:
         """Make the listed days hold exactly what ``frame`` has for them, in one step for readers."""
-        if frame is None:
-            self.publish(None, None, rows)
-            return
-        schema = frame.select("*", *date_parts(as_day(frame, column))).schema
-        self.publish(self.stage(frame, column), schema, rows)
-
-    def vacuum(self, keep: int = 1) -> list[str]:
-        """Remove the day folders that none of the ``keep`` newest versions reads; returns them.
-
-        Also removes what commits left that broke off, so none may run meanwhile. Versions before the kept
-        ones can not be read afterwards.
-        """
-        newest = self.version()
-        needed = set()
-        for number in range(max(1, newest - keep + 1), newest + 1):
-            rows = self.at(number).days().where("folder is not null").select("fecha", "folder").collect()
-            needed |= {f"commit={r.folder}/{day_folder(r.fecha)}" for r in rows}
-        root, gone = f"{self.path}/data", []
-        for commit in names(self.spark, root):
-            if not any(n.startswith(commit + "/") for n in needed):
-                gone.append(commit)
-                continue
-            held = self.commits().where(F.col("folder") == commit.removeprefix("commit=")).select("fecha").collect()
-            gone += [d for d in (f"{commit}/{day_folder(r.fecha)}" for r in held) if d not in needed]
-        for folder in gone:
-            remove(self.spark, f"{root}/{folder}")
-        return sorted(gone)
+        self.column = column
+        self.commit_parts(frame, rows)
 
 
 DayTable = DayFolder | DayVersions

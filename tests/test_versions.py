@@ -1,9 +1,12 @@
 """Refreshes that forget, and daily tables of versions."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from flowlake import schemas
+from flowlake.operators import merge
 from flowlake.plans import lake, od
+from flowlake.sinks.buckets import KeyBuckets
 from flowlake.sinks.days import DayFolder, DayVersions
 from tests.conftest import rows
 from tests.test_plans import holiday
@@ -152,3 +155,50 @@ def test_a_commit_lists_its_days(spark, tmp_path):
     with pytest.raises(ValueError, match="20240102"):
         fact.commit(flows, "fecha", [("20240101", "x")])
     assert fact.version() == 0
+
+
+def kept_files(table):
+    """Bucket to (file, time of change) of what the newest version reads."""
+    files = table.read_parts().select("key_bucket", "_metadata.file_path", "_metadata.file_modification_time").distinct()
+    found = {}
+    for r in files.collect():
+        found.setdefault(r[0], set()).add(tuple(r[1:]))
+    return found
+
+
+KEYED = "id long, zone string, amount double"
+
+
+def test_an_upsert_rewrites_its_buckets_only(spark, tmp_path):
+    data = [(k, f"z{k % 3}", float(k)) for k in range(200)] + [(None, "z0", 1.0)]
+    target = spark.createDataFrame(data, KEYED)
+    table = KeyBuckets.create(target, str(tmp_path / "t"), ["id", "zone"], 16)
+    assert rows(table.read()) == rows(target) and table.layout() == (16, ["id", "zone"])
+    before = kept_files(table)
+    # One replaced key, twice in the source, a new key, a key that differs in one part, a NULL key.
+    change = [(5, "z2", -1.0), (5, "z2", -2.0), (900, "z9", 9.0), (7, "z9", 7.5), (None, "z0", 2.0)]
+    source = spark.createDataFrame(change, KEYED)
+    touched = KeyBuckets(spark, str(tmp_path / "t")).upsert(source)
+    assert 1 <= len(touched) <= 4
+    assert rows(table.read()) == rows(merge.upsert(source, target, ["id", "zone"]))
+    after = kept_files(table)
+    assert {str(b) for b in after if after[b] != before.get(b)} == set(touched)
+    assert rows(table.at(1).read()) == rows(target)
+    found = table.lookup(spark.createDataFrame([(5, "z2"), (12345, "z1")], "id long, zone string"))
+    assert rows(found) == [(5, "z2", -1.0), (5, "z2", -2.0)]
+    assert table.upsert(source.limit(0)) == [] and table.version() == 2
+    with pytest.raises(ValueError, match="there is a table"):
+        KeyBuckets.create(target, str(tmp_path / "t"), ["id"], 4)
+    with pytest.raises(ValueError, match="no table"):
+        KeyBuckets(spark, str(tmp_path / "u")).layout()
+
+
+def test_an_empty_keyed_table_fills(spark, tmp_path):
+    table = KeyBuckets.create(spark.createDataFrame([], KEYED), str(tmp_path / "t"), ["id"], 4)
+    assert table.read().count() == 0
+    source = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], KEYED)
+    table.upsert(source.select("amount", "zone", "id"))
+    assert rows(table.read()) == rows(source)
+    table.upsert(source.limit(1).withColumn("amount", F.lit(5.0)))
+    assert sorted(r.amount for r in table.read().collect()) == [2.0, 5.0]
+    assert len(table.vacuum()) >= 1 and table.read().count() == 2

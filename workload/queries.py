@@ -14,7 +14,7 @@ from flowlake.operators import distribution, incremental, joins, merge, picks
 from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
-from flowlake.sinks import days, tables
+from flowlake.sinks import buckets, days, tables
 from flowlake.sources import catalog, feed, files
 from flowlake.streaming import ingest
 from workload.sql import TABLES
@@ -496,6 +496,22 @@ def merge_upsert(v: Views) -> DataFrame:
     return merge.upsert(source, target, ["id"])
 
 
+@query
+def upsert_buckets(v: Views) -> DataFrame:
+    """The same in a table of key buckets, by two upserts: customers with few orders, then the others."""
+    target = v.table("customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("nombre"), F.col("c_acctbal").alias("amount")
+    )
+    ordered = v.table("orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        F.lit("ordered").alias("nombre"), F.round(F.sum("o_totalprice"), 2).alias("amount"), F.count("*").alias("n")
+    )
+    ordered = v.stored(ordered, "ordered")
+    table = buckets.KeyBuckets.create(target, scratch_path(v.spark, "customers"), ["id"], 32)
+    for some in ("n < 5", "n >= 5"):
+        table.upsert(ordered.where(some).drop("n"))
+    return table.read()
+
+
 @query
 def merge_null_safe(v: Views) -> DataFrame:
     """Second half of the events against the first, on columns with NULLs."""
