@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlake.functions.temporal import day_key, parse_day
-from flowlake.operators.joins import missing_rows
+from flowlake.operators.joins import missing_from_large, missing_rows
 
 PARTS = ("year", "month", "day")
 
@@ -81,11 +81,15 @@ def day_batches(days: DataFrame, size: int) -> DataFrame:
     )
 
 
-def pending_files(manifest: DataFrame, table: DataFrame | None, provenance: str) -> DataFrame:
-    """Manifest rows (column ``url``) whose url is not among the table's provenance values."""
+def pending_files(manifest: DataFrame, table: DataFrame | None, provenance: str, *, large: bool = False) -> DataFrame:
+    """Manifest rows (column ``url``) whose url is not among the table's provenance values.
+
+    ``large``: the table has far more rows than the manifest, see
+    :func:`flowlake.operators.joins.missing_from_large`.
+    """
     if table is None:
         return manifest
-    return missing_rows(manifest, table, {"url": provenance})
+    return (missing_from_large if large else missing_rows)(manifest, table, {"url": provenance})
 
 
 def coverage_gap(profile: DataFrame, name_map: DataFrame, year: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from flowlake.operators.joins import lookup_join, missing_rows
+from flowlake.operators.joins import lookup_join, missing_from_large, missing_rows
 from flowlake.schemas import AUDIT_COLUMNS
 
 
@@ -13,12 +13,14 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in AUDIT_COLUMNS]
 
 
-def insert_only(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+def insert_only(source: DataFrame, target: DataFrame, keys: list[str], *, large: bool = False) -> DataFrame:
     """Source rows to append: those whose key the target lacks.
 
-    Copies of one new key inside the source all get in, and a NULL key never matches.
+    Copies of one new key inside the source all get in, and a NULL key never matches. ``large`` says that
+    the target is much larger than the source: a filter of its keys then decides most rows without a shuffle.
     """
-    return missing_rows(source, target, {k: k for k in keys})
+    missing = missing_from_large if large else missing_rows
+    return missing(source, target, {k: k for k in keys})
 
 
 def upsert(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
@@ -31,6 +33,10 @@ def upsert(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(source)
 
 
-def insert_new_rows(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source rows to append: those no target row equals on every data column, NULL = NULL."""
-    return missing_rows(source, target, {c: c for c in data_columns(target)}, null_safe=True)
+def insert_new_rows(source: DataFrame, target: DataFrame, *, large: bool = False) -> DataFrame:
+    """Source rows to append: those no target row equals on every data column, NULL = NULL.
+
+    ``large`` as for :func:`insert_only`.
+    """
+    missing = missing_from_large if large else missing_rows
+    return missing(source, target, {c: c for c in data_columns(target)}, null_safe=True)

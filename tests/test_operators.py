@@ -280,3 +280,36 @@ def test_request_manifest(spark):
     assert got.where("table_id = 31295 and year = 2023").first().url == (
         "https://h.example/31295?date=20230101"
     )
+
+
+def test_a_filter_decides_what_a_large_target_lacks(spark):
+    kinds = "a int, b string, c double"
+    target = spark.createDataFrame([(k, f"b{k % 7}", k / 2) for k in range(5000)] + [(None, "x", 0.0), (1, None, float("nan"))], kinds)
+    given = [(k, f"b{k % 7}", k / 2) for k in range(4990, 5200)] + [(None, "x", -0.0), (1, None, float("nan")), (None, None, None), (5300, "n", 1.0), (5300, "n", 1.0)]
+    source = spark.createDataFrame([(*g, n) for n, g in enumerate(given)], kinds + ", n int")
+    for null_safe in (False, True):
+        on = {"a": "a", "b": "b", "c": "c"}
+        for words in (joins.FILTER_WORDS, 64, 1):  # roomy, crowded, full
+            got = joins.missing_from_large(source, target, on, null_safe=null_safe, words=words)
+            assert rows(got.select("n")) == rows(joins.missing_rows(source, target, on, null_safe=null_safe).select("n"))
+    bits = joins.key_filter(target, ["a", "b"], 64)
+    assert bits.count() <= 64 and bits.columns == ["word", "bits"]
+    # Types that do not hash alike go the plain way.
+    other = target.withColumn("a", F.col("a").cast("long"))
+    assert joins.missing_from_large(source, other, {"a": "a"}).count() == joins.missing_rows(source, other, {"a": "a"}).count()
+    assert joins.missing_from_large(source, target.limit(0), {"a": "a"}).count() == len(given)
+
+
+def test_a_filtered_target_is_not_shuffled(spark, tmp_path):
+    spark.range(50_000).selectExpr("id as k", "cast(id as string) as v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(49_990, 80_000).selectExpr("id as k")
+    got = joins.missing_from_large(source, target, {"k": "k"})
+    assert got.count() == 30_000
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    # What is shuffled: words of the filter, and keys it could not decide; the target joins by broadcast.
+    exchanges = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("word" in line or "k#" in line for line in exchanges)
+    assert "SortMergeJoin" not in final and "BroadcastHashJoin" in final

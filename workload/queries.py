@@ -471,19 +471,35 @@ def coverage_gap(v: Views) -> DataFrame:
 
 
 @query
-def merge_insert_only(v: Views) -> DataFrame:
-    """All orders against the customer-years that have a filled one."""
-    orders = v.table("orders").select(
+def pending_files_filtered(v: Views) -> DataFrame:
+    return incremental.pending_files(*ingested(v), "source_file", large=True)
+
+
+def customer_years(v: Views) -> DataFrame:
+    return v.table("orders").select(
         F.col("o_custkey").alias("cod"),
         F.year("o_orderdate").alias("year"),
         "o_orderkey",
         "o_totalprice",
         "o_orderstatus",
     )
+
+
+@query
+def merge_insert_only(v: Views) -> DataFrame:
+    """All orders against the customer-years that have a filled one."""
+    orders = customer_years(v)
     target = orders.where("o_orderstatus = 'F'")
     return merge.insert_only(orders.drop("o_orderstatus"), target, ["cod", "year"])
 
 
+@query
+def merge_insert_only_filtered(v: Views) -> DataFrame:
+    orders = customer_years(v)
+    target = orders.where("o_orderstatus = 'F'")
+    return merge.insert_only(orders.drop("o_orderstatus"), target, ["cod", "year"], large=True)
+
+
 @query
 def merge_upsert(v: Views) -> DataFrame:
     """Customers overwritten by what they ordered."""
@@ -512,9 +528,8 @@ def upsert_buckets(v: Views) -> DataFrame:
     return table.read()
 
 
-@query
-def merge_null_safe(v: Views) -> DataFrame:
-    """Second half of the events against the first, on columns with NULLs."""
+def event_halves(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Second half of the events and the first, with NULLs."""
     rows = v.table("events").select(
         "user_id",
         F.nullif("event_type", F.lit("error")).alias("kind"),
@@ -522,7 +537,18 @@ def merge_null_safe(v: Views) -> DataFrame:
         (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")).alias("first_half"),
     )
     target, source = rows.where("first_half"), rows.where("not first_half")
-    return merge.insert_new_rows(source.drop("first_half"), target.drop("first_half"))
+    return source.drop("first_half"), target.drop("first_half")
+
+
+@query
+def merge_null_safe(v: Views) -> DataFrame:
+    """Second half of the events against the first, on columns with NULLs."""
+    return merge.insert_new_rows(*event_halves(v))
+
+
+@query
+def merge_null_safe_filtered(v: Views) -> DataFrame:
+    return merge.insert_new_rows(*event_halves(v), large=True)
 
 
 # -- files and tables --------------------------------------------------------------------------
