@@ -3,20 +3,19 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlake.functions.temporal import day_of_week, weekday_name
+from flowlake.operators.clusters import kmeans
 from flowlake.operators.joins import lookup_join
 from flowlake.operators.picks import majority
 from flowlake.sinks.tables import stored
 
-#: Partitions of the rhythm while the model is fitted, whatever its size: the first centres depend on
-#: what each partition holds. A zone has at most 168 rows.
-FIT_PARTITIONS = 32
+#: Steps of a standard deviation in which clusters measure, so that their sums are exact.
+STEPS = 1 << 16
 
 FEATURES = ["avg_out_trips", "avg_in_trips", "dow", "hour", "is_weekend", "diff_out_in"]
 INPUTS = [f"{name}_x" for name in FEATURES]
@@ -93,21 +92,17 @@ def scaled_features(rhythm: DataFrame) -> DataFrame:
     return scaled.withColumn("features", vector_to_array("scaled")).drop("raw", "scaled", *INPUTS)
 
 
-def rhythm_clusters(rhythm: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
+def rhythm_clusters(rhythm: DataFrame, k: int = 2, rounds: int = 20) -> DataFrame:
     """Assign a cluster to each row: mean imputation, standard scaling, k-means.
 
-    The rhythm has at most 168 rows per zone. It is written once, dealt by zone into a fixed number of
-    partitions in a fixed order, and cached while the model is fitted, as each iteration reads it.
+    The scaled features are counted in steps of 1/65536, and the first centres are the row farthest from the
+    mean and those farthest from the ones before, so the clusters depend on the rhythm alone. It has at
+    most 168 rows per zone and is written once, as each round reads it.
     """
-    rows = _measured(stored(rhythm, "rhythm"))
-    kmeans = KMeans(featuresCol="scaled", predictionCol="cluster", k=k, seed=seed, maxIter=300)
-    stages = [*_scaling(), kmeans]
-    training = rows.repartition(FIT_PARTITIONS, "zone_id").sortWithinPartitions("zone_id", "dow", "hour").persist()
-    try:
-        model = Pipeline(stages=stages).fit(training)
-    finally:
-        training.unpersist()
-    return model.transform(rows).drop("raw", "scaled", *INPUTS)
+    scaled = scaled_features(rhythm)
+    steps = {name: F.round(F.col("features")[n] * STEPS).cast("long") for n, name in enumerate(INPUTS)}
+    points = stored(scaled.withColumns(steps).drop("features"), "rhythm-points")
+    return kmeans(points, INPUTS, ["zone_id", "dow", "hour"], k, rounds).drop(*INPUTS)
 
 
 def label_zones(clustered: DataFrame) -> DataFrame:
@@ -130,6 +125,6 @@ def label_zones(clustered: DataFrame) -> DataFrame:
     )
 
 
-def zone_function(od: DataFrame, seed: int = 42) -> DataFrame:
+def zone_function(od: DataFrame) -> DataFrame:
     """Residential / Non-residential by zone."""
-    return label_zones(stored(rhythm_clusters(zone_rhythm(od), seed=seed), "rhythm-clusters"))
+    return label_zones(stored(rhythm_clusters(zone_rhythm(od)), "rhythm-clusters"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.operators import distribution, incremental, joins, merge, picks
+from flowlake.operators import clusters, distribution, incremental, joins, merge, picks
 from flowlake.sources import feed
 from tests.conftest import rows
 
@@ -313,3 +313,30 @@ def test_a_filtered_target_is_not_shuffled(spark, tmp_path):
     exchanges = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and all("word" in line or "k#" in line for line in exchanges)
     assert "SortMergeJoin" not in final and "BroadcastHashJoin" in final
+
+
+def test_kmeans_depends_on_the_points_alone(spark):
+    rng = random.Random(4)
+    middles = [(0, 0, 90), (500, -300, 0), (-400, 800, 7)]
+    data = [(n, *(m + rng.randint(-120, 120) for m in middles[n % 3])) for n in range(300)]
+    points = [d[1:] for d in data]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    centres = []
+    while len(centres) < 3:
+        near = [min(apart(p, c) for c in centres) if centres else apart(p, (0, 0, 0)) for p in points]
+        centres.append(points[near.index(max(near))])
+    assert clusters.farthest_points(spark.createDataFrame(data, "id int, x long, y long, z long"), ["x", "y", "z"], ["id"], 3) == list(map(list, centres))
+    for rounds in (0, 1, 20):
+        moving = list(centres)
+        for _ in range(rounds):
+            told = [min(range(3), key=lambda c: (apart(p, moving[c]), c)) for p in points]
+            for c in range(3):
+                own = [p for p, t in zip(points, told) if t == c]
+                moving[c] = tuple(sum(column) // len(own) for column in zip(*own)) if own else moving[c]
+        want = sorted((n, min(range(3), key=lambda c: (apart(p, moving[c]), c))) for n, p in enumerate(points))
+        for partitions in (1, 7):
+            df = spark.createDataFrame(rng.sample(data, len(data)), "id int, x long, y long, z long").repartition(partitions)
+            assert rows(clusters.kmeans(df, ["x", "y", "z"], ["id"], 3, rounds).select("id", "cluster")) == sorted(want, key=repr)
+    same = spark.createDataFrame([(1, 5, 5, 5), (2, 5, 5, 5)], "id int, x long, y long, z long")
+    assert rows(clusters.kmeans(same, ["x", "y", "z"], ["id"], 3).select("cluster")) == [(0,), (0,)]
+    assert clusters.kmeans(same.limit(0), ["x", "y", "z"], ["id"], 3).count() == 0
