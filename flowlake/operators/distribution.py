@@ -101,7 +101,7 @@ def exact_quantiles(
         return []
     positions = [p * (total - 1) for p in probabilities]
     ranks = {f(position) for position in positions for f in (math.floor, math.ceil)}
-    at = _values_at(counts, ranks, 0, buckets, walked)
+    at = values_at(counts, ranks, 0, buckets, walked)
 
     def between(position: float) -> float:
         low, high = at[math.floor(position)], at[math.ceil(position)]
@@ -110,8 +110,8 @@ def exact_quantiles(
     return [between(position) for position in positions]
 
 
-def _values_at(counts: DataFrame, ranks: set[int], before: int, buckets: int, walked: int) -> dict[int, float]:
-    """The value at each rank, where ``before`` values come ahead of these."""
+def values_at(counts: DataFrame, ranks: set[int], before: int, buckets: int, walked: int) -> dict[int, float]:
+    """The value at each rank, where ``before`` values come ahead of these (value, count) rows."""
     found = {}
     if counts.count() <= walked:
         for row in sorted(counts.collect()):
@@ -125,7 +125,7 @@ def _values_at(counts: DataFrame, ranks: set[int], before: int, buckets: int, wa
         if wanted := {k for k in ranks if before <= k < before + size}:
             inside = counts.where(F.col("v") > cuts[number - 1]) if number else counts
             inside = inside.where(F.col("v") <= cuts[number]) if number < len(cuts) else inside
-            found |= _values_at(inside, wanted, before, buckets, walked)
+            found |= values_at(inside, wanted, before, buckets, walked)
         before += size
     return found
 

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake.operators.incremental import changed_days, day_states, needs_rebuild
+from flowlake.operators.sketches import day_summaries
 from flowlake.plans.gravity import daily_pairs, fit_gravity_k, gravity_base_of, gravity_mismatch_of, latest_year
-from flowlake.plans.od import day_moments, od_hourly, od_quality, typical_day
+from flowlake.plans.od import day_moments, od_hourly, od_quality, typical_day, wanted_days
 from flowlake.plans.zone_function import zone_function
 from flowlake.sinks.days import DayTable, DayVersions, day_table
 from flowlake.sinks.tables import replace
@@ -107,6 +108,26 @@ def refresh_typical_day(
     return refresh_days(od, lambda days: typical_day(od, days), path, "date", parent=parent)
 
 
+def refresh_summaries(
+    od: DataFrame | DayVersions, path: str | DayTable, parent: str | DayTable | None = None
+) -> tuple[DayTable, DayTable]:
+    """Summaries of the trips by day, with a sketch, and by day and pair; the two tables.
+
+    Ranges of days are then described from them: see :mod:`flowlake.operators.sketches`.
+    """
+    od, parent = pinned(od, parent)
+    table = day_table(od.sparkSession, path)
+    pairs = table.beside("_pairs")
+    ends = ["origen_zone_id", "destino_zone_id"]
+
+    def of_days(keys: list[str], sketch: bool):
+        return lambda days: day_summaries(od.where(wanted_days(od, "fecha", days)), "fecha", "viajes", keys, sketch)
+
+    refresh_days(od, of_days([], True), table, "date", parent=parent)
+    refresh_days(od, of_days(ends, False), pairs, "date", parent=parent)
+    return table, pairs
+
+
 def refresh_gravity(
     od: DataFrame | DayVersions,
     zones: DataFrame,

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.operators import clusters, distribution, incremental, joins, merge, picks
+from flowlake.operators import clusters, distribution, incremental, joins, merge, picks, sketches
 from flowlake.sources import feed
 from tests.conftest import rows
 
@@ -340,3 +340,32 @@ def test_kmeans_depends_on_the_points_alone(spark):
     same = spark.createDataFrame([(1, 5, 5, 5), (2, 5, 5, 5)], "id int, x long, y long, z long")
     assert rows(clusters.kmeans(same, ["x", "y", "z"], ["id"], 3).select("cluster")) == [(0,), (0,)]
     assert clusters.kmeans(same.limit(0), ["x", "y", "z"], ["id"], 3).count() == 0
+
+
+@pytest.mark.parametrize("slack", [0.02, -0.3])
+def test_ranges_from_day_summaries(spark, monkeypatch, slack):
+    """Also where every bracket misses: a negative slack leaves none."""
+    monkeypatch.setattr(sketches, "SLACK", slack)
+    rng = np.random.default_rng(2)
+    day = rng.integers(1, 29, 20_000)
+    value = np.round(rng.lognormal(2, 1, 20_000), 2)
+    data = [(f"202401{d:02d}", "a" if k % 3 else "b", float(x)) for k, (d, x) in enumerate(zip(day, value))]
+    data += [("20240103", "a", None), ("20240103", "a", float("nan")), ("20240131", "c", 7.0)]
+    df = spark.createDataFrame(data, "fecha string, k string, v double").withColumn("at", F.to_timestamp_ntz("fecha", F.lit("yyyyMMdd")))
+    summaries = sketches.day_summaries(df, "at", "v", [], True)
+    shares = [0.0, 0.25, 0.5, 0.999, 1.0]
+    for first, last in ((3, 9), (8, 28), (31, 31), (30, 30)):
+        span = (f"2024-01-{first:02d}", f"2024-01-{last:02d}")
+        inside = value[(day >= first) & (day <= last)] if first < 30 else np.array([7.0][: 32 - last])
+        if first == 30:
+            inside = inside[:0]
+        got = sketches.range_quantiles(df, "at", "v", summaries, *span, shares)
+        assert got == pytest.approx(list(np.quantile(inside, shares)) if len(inside) else [])
+    by_key = sketches.day_summaries(df, "at", "v", ["k"])
+    got = {r.k: r for r in sketches.range_moments(by_key, "2024-01-03", "2024-01-31", ["k"]).collect()}
+    for k, part in (("a", np.arange(20_000) % 3 > 0), ("b", np.arange(20_000) % 3 == 0)):
+        inside = value[(day >= 3) & part]
+        r = got[k]
+        assert r.n == len(inside) and (r.low, r.high) == (inside.min(), inside.max())
+        assert (r["mean"], r.sd) == pytest.approx((inside.mean(), inside.std(ddof=1)))
+    assert (got["c"].n, got["c"].sd) == (1, None)

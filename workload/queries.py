@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowlake import schemas
 from flowlake.functions.temporal import day_key
 from flowlake.functions.text import clean_population as clean_text_population
-from flowlake.operators import distribution, incremental, joins, merge, picks
+from flowlake.operators import distribution, incremental, joins, merge, picks, sketches
 from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
@@ -328,6 +328,38 @@ def flow_quantile_class(v: Views) -> DataFrame:
     return rounded(classed.select("origin", "destination", "avg_trips", "class"), avg_trips=4)
 
 
+RANGES = [("2024-01-05", "2024-01-12"), ("2024-01-10", "2024-01-25")]
+
+
+def summarised(v: Views):
+    """The fact and its summaries after two deliveries, as tables of versions."""
+    fact, summaries = day_versions(v, "od-summarised"), day_versions(v, "summaries")
+    refreshed(v, fact, lambda: lake.refresh_summaries(fact, summaries))
+    return fact.read(), summaries.read(), summaries.beside("_pairs").read()
+
+
+@query
+def range_quantiles(v: Views) -> DataFrame:
+    """Exact quantiles of the trips over two ranges of days that overlap, bracketed by the days' sketches."""
+    fact, by_day, _ = summarised(v)
+    shares, found = [0.0, 0.05, 0.5, 0.9, 1.0], []
+    for start, end in RANGES:
+        values = sketches.range_quantiles(fact, "fecha", "viajes", by_day, start, end, shares)
+        found += [(start, end, share, value) for share, value in zip(shares, values)]
+    return rounded(v.spark.createDataFrame(found, "first string, last string, share double, viajes double"), viajes=6)
+
+
+@query
+def range_moments(v: Views) -> DataFrame:
+    """Moments of the trips of each pair over the two ranges, from the days' moments."""
+    _, _, by_pair = summarised(v)
+    keys = ["origen_zone_id", "destino_zone_id"]
+    parts = [
+        sketches.range_moments(by_pair, start, end, keys).select(F.lit(start).alias("first"), "*") for start, end in RANGES
+    ]
+    return rounded(parts[0].union(parts[1]), mean=6, sd=5, low=4, high=4)
+
+
 @query
 def report_json(v: Views) -> DataFrame:
     return reports.as_json_rows(arcs(v).select("origin", "destination"))
