@@ -4,7 +4,8 @@ A turn is an array of parts (type, text, ref, width, height, seconds, pages). A
 type, flattens the parts of a conversation into one string: texts with control strings escaped, and a
 numbered placeholder for every image, audio and document part, whose reference, place and expanded
 token count go to a list of attachments. The mask lists the spans of assistant texts. Escaping is
-reversible: a backslash is doubled, ``<|`` becomes ``<\\|``, and in roles a line end becomes ``<\\!``.
+reversible: a backslash is doubled, ``<|`` becomes ``<\\|``, also where a text ends in ``<`` and the next one
+begins with ``|``, and in roles a line end becomes ``<\\!``.
 """
 
 from __future__ import annotations
@@ -67,9 +68,10 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     null first, ties by role and parts; repeated rows are repeated turns. A null role or text is empty, a
     null or empty array is a turn without text, null conversations form one. A part of another type than
     text, image, audio or document is taken as text. loss_spans are (start, length) in code points of
-    the assistants' escaped text parts, empty ones left out; attachments are (number, type, ref,
+    the assistants' escaped text parts, empty ones left out (together they unescape to the texts); attachments are (number, type, ref,
     turn_index, start, tokens), numbered per conversation in order of appearance, with the place of the
-    placeholder. Other columns are ignored. An empty table gives no row.
+    placeholder. Other columns are ignored. An empty table gives no row. Texts are
+    whole however long; a conversation is one row, so its formatted text has to fit one.
     """
     slim = turns.select(
         F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
@@ -82,8 +84,13 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
     media = F.col("piece.kind").isin(*MEDIA)
     counted = visited.withColumn("number", F.sum(media.cast("int")).over(along))
     named = counted.withColumn(
-        "out", F.when(media, F.concat(F.lit("<|"), F.col("piece.kind"), F.lit("_"), F.col("number"), F.lit("|>"))).otherwise(F.col("piece.text"))
+        "plain", F.when(media, F.concat(F.lit("<|"), F.col("piece.kind"), F.lit("_"), F.col("number"), F.lit("|>"))).otherwise(F.col("piece.text"))
     )
+    # Two texts side by side must not make a control string.
+    before = Window.partitionBy("conv").orderBy("t", "p").rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.last(F.when(F.length("plain") > 0, F.right("plain", F.lit(1))), ignorenulls=True).over(before)
+    joins = (F.col("piece.kind") == "text") & F.startswith("plain", F.lit("|")) & F.coalesce(ends == "<", F.lit(False))
+    named = named.withColumn("out", F.when(joins, F.concat(F.lit("\\"), F.col("plain"))).otherwise(F.col("plain")))
     placed = named.withColumn("length", F.length("out")).withColumn("start", F.sum("length").over(along) - F.col("length"))
     spoken = (F.col("role") == "assistant") & (F.col("piece.kind") == "text") & (F.col("length") > 0)
     attached = F.struct(
@@ -132,6 +139,5 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the mask, unescaped, in order, with nothing between."""
-    return F.array_join(
-        F.transform(spans, lambda s: unescaped(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"]))), ""
-    )
+    cut = F.transform(spans, lambda s: F.substring(formatted, (s["start"] + 1).cast("int"), s["length"]))
+    return unescaped(F.array_join(cut, ""))
