@@ -1,8 +1,10 @@
 """From raw documents to token files: language, near duplicates, benchmarks, mixture, tokens.
 
 Every stage takes all rows its predecessor kept, written as Parquet, and all but the last return the
-columns of ``documents``. Rows with a null doc_id pass the stages that decide by id. The mixture gives a
-document as many rows as epochs take it, so a doc_id may repeat from there on.
+columns of ``documents``, others that come along included, whatever their names. Rows with a null doc_id pass
+the stages that decide by id; rows that share an id are one document to them, and of equal ones one stays.
+The mixture gives a document as many rows as epochs take it, so a doc_id may repeat from there on. Null and
+empty texts go at the language stage; texts are used whole however long. Empty tables pass as empty tables.
 """
 
 from __future__ import annotations
@@ -32,10 +34,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of every group of texts linked by 0.8 or more on five words."""
+    """Keep the smallest doc_id of every group of texts linked by 0.8 or more on five words, its rows of equal text once."""
     classes = jaccard_classes(docs, shingle=5, percent=80)
     dropped = stored(classes.where("component_id != doc_id").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti")
+    return without_repeats(docs.join(dropped, "doc_id", "left_anti").select(*docs.columns))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """One of the rows that agree in doc_id and text; only such rows move. Rows with a null doc_id stay."""
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    counts = keyed.where("id is not null").groupBy("id", "hash").count()
+    again = stored(counts.where("count > 1").select("id", "hash"), "repeated")
+    if again.isEmpty():
+        return docs
+    first = keyed.join(again, ["id", "hash"], "left_semi").groupBy("id", "hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    rest = keyed.join(again, ["id", "hash"], "left_anti").select("row")
+    return rest.union(first.select("row")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +76,12 @@ def supply_weights(docs: DataFrame, levels: list[Column]) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat texts towards the weights; the last text of a leaf's prefix is taken whole."""
     levels = [domain_column(), F.col("lang"), F.col("source")]
-    mixed = mix_sources(docs, levels, supply_weights(docs, levels), SHARE, EPOCHS)
+    packed = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang", "source")
+    mixed = mix_sources(packed, levels, supply_weights(docs, levels), SHARE, EPOCHS)
     copies = F.col("mix_copies") + (F.col("mix_prefix") > 0).cast("long")
-    taken = mixed.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return taken.select(*docs.columns)
+    taken = mixed.select("row", copies.alias("copies")).where("copies > 0")
+    taken = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
