@@ -18,6 +18,19 @@ def names(spark: SparkSession, path: str) -> set[str]:
     return {status.getPath().getName() for status in system.listStatus(at)}
 
 
+def files_under(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, or of the files in a folder and below, but hidden ones."""
+    system, at = _system(spark, path)
+    found, listed = [], system.listFiles(at, True)
+    while listed.hasNext():
+        status = listed.next()
+        place = status.getPath().toString()
+        below = place.removeprefix(system.getFileStatus(at).getPath().toString())
+        if not any(part.startswith(("_", ".")) for part in below.split("/")):
+            found.append((place.replace("file:/", "file:///", 1) if place.startswith("file:/") and not place.startswith("file://") else place, status.getLen()))
+    return sorted(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, at = _system(spark, path)
     system.delete(at, True)

@@ -11,6 +11,7 @@ from flowlake.functions.temporal import parse_day
 from flowlake.functions.text import clean_id, clean_population
 from flowlake.operators.joins import lookup_join
 from flowlake.operators.picks import first_per_key
+from flowlake.sources.json_arrays import read_large_json_array
 
 
 def plain_path(uri: Column) -> Column:
@@ -116,12 +117,18 @@ def read_json_array(
     schema: T.StructType,
     source_url: str | None = None,
     year: int | None = None,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """JSON array documents, one row per element, with ``loaded_at``, ``source_url`` (and year).
 
-    An array document can not be split, so one file is one task; pass many files for parallelism.
+    By default one file is one task, which suits many files. With ``range_bytes`` a document of any size is
+    read by as many tasks as it has ranges: see :mod:`flowlake.sources.json_arrays`.
     """
-    rows = with_provenance(spark.read.schema(schema).json(path, multiLine=True), name="source_url")
+    if range_bytes is None:
+        rows = with_provenance(spark.read.schema(schema).json(path, multiLine=True), name="source_url")
+    else:
+        elements = read_large_json_array(spark, path, schema, range_bytes)
+        rows = elements.select(*schema.names, F.current_timestamp().alias("loaded_at"), plain_path(F.col("path")).alias("source_url"))
     if source_url is not None:
         rows = rows.withColumn("source_url", F.lit(source_url))
     return rows if year is None else rows.withColumn("year", F.lit(year))

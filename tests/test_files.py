@@ -4,15 +4,17 @@ import gzip
 import json
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowlake import schemas
 from flowlake.operators.incremental import between_days
 from flowlake.session import scratch_path, shared_dir
 from flowlake.sinks import reports as report_sink
 from flowlake.sinks import tables
-from flowlake.sources import catalog, files
+from flowlake.sources import catalog, files, json_arrays
 from flowlake.streaming import ingest
 from tests.conftest import rows
 
@@ -225,3 +227,52 @@ def test_scratch_paths_live_in_the_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+TRICKY = [
+    {"k": 1, "t": "plain", "d": [{"x": 1}, {"x": 2}]},
+    {"k": 2, "t": 'quote " and \\ and \\" end \\\\', "d": []},
+    {"k": 3, "t": "],[ },{ \\", "d": [{"x": 3}]},
+    {"k": 4, "t": "äöü 日本 \U0001f642" * 9, "d": None},
+    {"k": 5, "t": "", "d": [{"x": None}]},
+    {"k": 6, "t": "\\" * 301 + '"' + "[" * 50, "d": [{"x": k} for k in range(60)]},
+]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1000, 1 << 20])
+def test_array_documents_are_cut_at_elements(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(json_arrays, "READ_ON", 5)
+    compact = json.dumps(TRICKY, ensure_ascii=False, separators=(",", ":"))
+    documents = {"a": compact, "b": json.dumps(TRICKY, indent=2), "c": "[]", "d": " \n[ ]\n", "e": json.dumps(TRICKY[2]), "f": "", "g": "[ {} ]"}
+    for name, text in documents.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    if size < 64:  # the driver's own functions, range by range, as jobs of a thousand tasks take long
+        for name in "abcdeg":
+            raw = documents[name].encode()
+            rows_, inside, depth, got = [], False, 0, []
+            for at in range(0, len(raw), size):
+                rows_.append({"path": str(tmp_path / f"{name}.json"), "at": at, "size": min(size, len(raw) - at), "file_size": len(raw)})
+            for batch in json_arrays._changes([pa.RecordBatch.from_pylist(rows_)]):
+                for row in batch.to_pylist():
+                    with json_arrays._open(row["path"]) as file:
+                        got += json_arrays._cut(file, row | {"in_string": inside, "depth": depth})
+                    depth += row["inside"] if inside else row["outside"]
+                    inside ^= row["quotes"] % 2 == 1
+            want = json.loads(documents[name])
+            assert [json.loads(x) for x in got] == (want if isinstance(want, list) else [want])
+        return
+    schema = "k int, t string, d array<struct<x:int>>"
+    got = json_arrays.read_large_json_array(spark, str(tmp_path), T.StructType.fromDDL(schema), size)
+    one = [(r["k"], r["t"], r["d"] and [(x["x"],) for x in r["d"]]) for r in TRICKY]
+    want = [("a", *r) for r in one] + [("b", *r) for r in one] + [("e", *one[2]), ("g", None, None, None)]
+    assert sorted(((r.path[-6], r.k, r.t, r.d and [tuple(x) for x in r.d]) for r in got.collect()), key=repr) == sorted(
+        ((f, k, t, d if d != [] else []) for f, k, t, d in want), key=repr
+    )
+
+
+def test_one_document_is_read_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "one.json"
+    path.write_text(json.dumps([{"k": k, "t": "x" * (k % 50)} for k in range(5000)]))
+    found = json_arrays.array_elements(spark, [str(path)], 20_000)
+    tasks = found.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert found.count() == 5000 and tasks > 3

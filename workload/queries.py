@@ -620,6 +620,14 @@ def population_from_documents(v: Views) -> DataFrame:
     return Z.population(series, v.name_map(), YEAR)
 
 
+@query
+def population_from_large_document(v: Views) -> DataFrame:
+    """All series as one JSON document, read in ranges that cut through its elements."""
+    path = written_documents(v, v.population_raw().select(F.lit(None).cast("string").alias("COD"), "Nombre", "Data"), "series", 1)
+    series = files.read_json_array(v.spark, path, schemas.SERIES_RAW, year=int(YEAR), range_bytes=1 << 14)
+    return Z.population(series, v.name_map(), YEAR)
+
+
 @query
 def holidays_from_documents(v: Views) -> DataFrame:
     """The calendar as a JSON document, in the flags of the daily counts."""
