@@ -25,8 +25,8 @@ from flowlake.llm.words import U64, mix
 ORDER = 4
 #: Labelled texts per language in the bounded sample, those of smallest hash; every fifth calibrates.
 FIT_TEXTS = 500
-#: Longer texts are scored in slices of so many characters.
-SLICE = 1 << 18
+#: Positions whose probabilities a task holds at once; a longer text goes on where it stopped.
+CHUNK = 1 << 18
 #: Texts may lie above their language's median as far as this quantile of calibration texts, in deviations of
 #: letters and of texts so many times the standard one.
 REJECT_QUANTILE, REJECT_SPREADS = 0.999, 4.0
@@ -41,16 +41,13 @@ def _letters() -> np.ndarray:
 
 
 def letter_codes(texts: list[str]):
-    """Code points of each slice of each text after ORDER - 1 boundaries: (codes, firsts, text of slice).
+    """Code points of each text with letters or signs after ORDER - 1 boundaries: (codes, firsts, number of the text).
 
     A run of characters that are no letters is one 0; code points of letters stay.
     """
-    slices, owner = [], []
     pad = "\0" * (ORDER - 1)
-    for k, text in enumerate(texts):
-        for at in range(0, len(text), SLICE):
-            slices.append(pad + text[at : at + SLICE].lower())
-            owner.append(k)
+    owner = [k for k, text in enumerate(texts) if text]
+    slices = [pad + texts[k].lower() for k in owner]
     codes = np.frombuffer("".join(slices).encode("utf-32-le", "surrogatepass"), np.uint32)
     codes = np.where(_letters()[codes], codes, np.uint32(0))
     firsts = np.concatenate([[0], np.cumsum([len(s) for s in slices])]).astype(np.int64)
@@ -168,15 +165,23 @@ class LanguageModel:
         sums, count, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts)), np.zeros(len(texts))
         if not len(owner):
             return sums, count, letters
-        logs = self._logs(ids)
-        totals = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0, dtype=np.float64)])
-        begin = firsts[:-1] + ORDER - 1
-        np.add.at(sums, owner, totals[firsts[1:]] - totals[begin])
-        np.add.at(count, owner, firsts[1:] - begin)
+        begin, end = firsts[:-1] + ORDER - 1, firsts[1:]
+        for low, logs in self._chunks(ids):
+            totals = np.concatenate([np.zeros((1, logs.shape[1])), np.cumsum(logs, axis=0, dtype=np.float64)])
+            here = slice(np.searchsorted(end, low, "right"), np.searchsorted(begin, low + len(logs), "left"))
+            upto = np.clip(end[here] - low, 0, len(logs))
+            sums[owner[here]] += totals[upto] - totals[np.clip(begin[here] - low, 0, upto)]
+        count[owner] = end - begin
         real = np.concatenate([[0], np.cumsum(codes != 0)])
-        np.add.at(letters, owner, real[firsts[1:]] - real[begin])
+        letters[owner] = real[end] - real[begin]
         return -sums / np.maximum(count, 1)[:, None], count, letters
 
+    def _chunks(self, ids: np.ndarray):
+        """(first position, log probabilities by language) of stretches of positions, each with what stands before it."""
+        for low in range(0, len(ids), CHUNK):
+            before = min(low, ORDER - 1)
+            yield low, self._logs(ids[low - before : low + CHUNK])[before:]
+
     def _logs(self, ids: np.ndarray) -> np.ndarray:
         row, found = self.grams[-1].find(_keys(ids, ORDER))
         logs = self.grams[-1].values[row]
@@ -311,11 +316,11 @@ def _spread(values: np.ndarray) -> float:
 
 
 def _stretches(model: LanguageModel, k: int, texts: list[str]) -> np.ndarray:
-    """Cross-entropies of short stretches of each text under language ``k``, less the text's own."""
+    """Cross-entropies of short stretches of each whole text under language ``k``, less the text's own."""
     out = [np.zeros(0)]
-    for text in texts:
-        codes, firsts, _ = letter_codes([text[:SLICE]])
-        logs = -model._logs(model.ids(codes))[ORDER - 1 : int(firsts[1]), k].astype(np.float64)
+    for text in filter(None, texts):
+        parts = [logs[:, k] for _, logs in model._chunks(model.ids(letter_codes([text])[0]))]
+        logs = -np.concatenate(parts)[ORDER - 1 :].astype(np.float64)
         whole = logs[: len(logs) // STRETCH * STRETCH]
         if len(whole):
             out.append(whole.reshape(-1, STRETCH).mean(1) - logs.mean())
@@ -348,7 +353,8 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """(id_col, lang_pred, score, rejected, cross_entropy) of every row, from the text alone.
 
     A null text or one without letters is "und" with score 0 and rejected. Ties go to the first
-    language by name. Other columns are ignored; repeated rows are judged each.
+    language by name. Other columns are ignored; repeated rows are judged each. A text is scored as one
+    sequence however long it is.
     """
 
     def predict(batches):
