@@ -1,9 +1,11 @@
 """Language identification, language-model scores and near vectors."""
 
 import itertools
+import math
 import os
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -234,3 +236,84 @@ def test_passes_follow_the_chance_of_a_miss():
         passes = vectors.passes_needed(0.9, signs)
         assert (1 - agree**signs) ** passes <= vectors.MISS < (1 - agree**signs) ** (passes - 1)
     assert vectors.passes_needed(0.9, 0) == 1
+
+
+def plain_symbols(text):
+    """Lower-case letters with one 0 for each run of other characters, after three 0 that absorb a leading run."""
+    out = [0, 0, 0]
+    for c in text.lower():
+        if c.isalpha():
+            out.append(c)
+        elif out[-1] != 0:
+            out.append(0)
+    return out
+
+
+class PlainKneserNey:
+    """Interpolated Kneser-Ney by dictionaries, straight from the definition."""
+
+    def __init__(self, texts, symbols):
+        self.symbols, self.counts = symbols, []
+        grams = Counter()
+        for text in texts:
+            s = plain_symbols(text)
+            grams.update(tuple(s[k - 3 : k + 1]) for k in range(3, len(s)))
+        for _ in range(4):
+            self.counts.insert(0, grams)
+            lower = Counter()
+            for gram in grams:  # each kind of letter before counts once
+                lower[gram[1:]] += 1
+            grams = lower
+        self.discounts = []
+        for grams in self.counts:
+            n = Counter(grams.values())
+            self.discounts.append(min(max(n[1] / max(n[1] + 2 * n[2], 1), 0.1), 0.95))
+
+    def chance(self, gram):
+        if not gram:
+            return 1 / self.symbols
+        grams, discount = self.counts[len(gram) - 1], self.discounts[len(gram) - 1]
+        followers = [n for g, n in grams.items() if g[:-1] == gram[:-1]]
+        lower = self.chance(gram[1:])
+        if not followers:
+            return lower
+        total = sum(followers)
+        return max(grams.get(gram, 0) - discount, 0) / total + discount * len(followers) / total * lower
+
+    def entropy(self, text):
+        s = plain_symbols(text)
+        logs = [math.log(self.chance(tuple(s[k - 3 : k + 1]))) for k in range(3, len(s))]
+        return -sum(logs) / len(logs)
+
+
+def test_entropies_and_choice_against_plain_models(spark, monkeypatch):
+    """Counts, discounts, back-off, entropy and choice, also where a text goes over many chunks."""
+    rng = random.Random(6)
+    kinds = {"en": ["the", "then", "when", "hen", "new"], "xx": ["zha", "azh", "hazz", "zah", "new"]}
+    rows = []
+    for k in range(60):
+        lang = sorted(kinds)[k % 2]
+        rows.append((k, ", ".join(rng.choices(kinds[lang], k=rng.randint(5, 30))) + ".", lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_languages(docs)
+    sample = docs.selectExpr("*", "xxhash64(doc_id, text) as h").collect()
+    counted = {}
+    for lang in kinds:
+        order = sorted((r for r in sample if r.lang == lang), key=lambda r: (r.h, r.text))
+        counted[lang] = [r.text for n, r in enumerate(order, 1) if n % 5 != 0]
+    letters = {c for texts in counted.values() for t in texts for c in t.lower() if c.isalpha()}
+    plain = {lang: PlainKneserNey(texts, len(letters) + 2) for lang, texts in counted.items()}
+    probes = ["The new hen", "azh zah!", "then,zha", "n", "new new  new", "the hazz " * 30]
+    want = np.array([[plain[lang].entropy(t) for lang in model.languages] for t in probes])
+    for chunk in (langid.CHUNK, 7):
+        monkeypatch.setattr(langid, "CHUNK", chunk)
+        got = model.entropies(["", *probes])[0][1:]
+        assert np.allclose(got, want, rtol=2e-5)
+    found = langid.identify(spark.createDataFrame(enumerate(probes), "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {k: model.languages[int(w.argmin())] for k, w in enumerate(want)}
+    monkeypatch.undo()
+    long = "the hen, " * (langid.CHUNK // 4)
+    entropy, count, _ = model.entropies([long])
+    assert count[0] == len(plain_symbols(long)) - 3 > 2 * langid.CHUNK - 9
+    once = model.entropies([long[:900]])[0]
+    assert np.allclose(entropy, once, rtol=0.01)
