@@ -31,6 +31,12 @@ def files_under(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(found)
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, at = _system(spark, path)
+    if not system.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} was not renamed to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     system, at = _system(spark, path)
     system.delete(at, True)

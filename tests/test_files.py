@@ -14,7 +14,7 @@ from flowlake.operators.incremental import between_days
 from flowlake.session import scratch_path, shared_dir
 from flowlake.sinks import reports as report_sink
 from flowlake.sinks import tables
-from flowlake.sources import catalog, files, json_arrays
+from flowlake.sources import catalog, files, json_arrays, outcomes
 from flowlake.streaming import ingest
 from tests.conftest import rows
 
@@ -276,3 +276,30 @@ def test_one_document_is_read_by_many_tasks(spark, tmp_path):
     found = json_arrays.array_elements(spark, [str(path)], 20_000)
     tasks = found.select(F.spark_partition_id().alias("p")).distinct().count()
     assert found.count() == 5000 and tasks > 3
+
+
+def test_every_file_has_an_outcome(spark, tmp_path):
+    names = "|".join(schemas.OD_RAW.names)
+    line = "20240105|0|1|2|1|2|r"
+    write_gz(tmp_path / "good.csv.gz", line, line, header=names)
+    write_gz(tmp_path / "some.csv.gz", line, "20240105|0", line + "|too|many", "", header=names)
+    write_gz(tmp_path / "none.csv.gz", header=names)
+    write_gz(tmp_path / "other.csv.gz", line, header="a|b")
+    write_gz(tmp_path / "cut.csv.gz", *[f"2024010{k % 9 + 1}|{k}|{k * 7919 % 1000}|2|{k}|2|r" for k in range(20_000)], header=names)
+    whole = (tmp_path / "cut.csv.gz").read_bytes()
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) * 2 // 3])  # most rows can be read
+    (tmp_path / "junk.csv.gz").write_bytes(b"no gzip")
+    (tmp_path / "zero.csv").write_bytes(b"")
+    (tmp_path / "bare.csv").write_text(names)
+    (tmp_path / "last.csv").write_text(f"{names}\n{line}")
+    paths = [(str(p),) for p in sorted(tmp_path.iterdir())] + [(str(tmp_path / "gone.csv"),), (None,), (str(tmp_path / "good.csv.gz"),)]
+    got, told = outcomes.load_files(spark, spark.createDataFrame(paths, "path string"), schemas.OD_RAW)
+    found = {r.source_file.rsplit("/", 1)[1].split(".")[0]: (r.status, r.n_rows, r.n_rejected) for r in told.collect()}
+    assert found == {
+        "good": ("loaded", 2, 0), "some": ("loaded", 1, 2), "none": ("empty", 0, 0), "other": ("failed", 0, 0), "cut": ("failed", 0, 0),
+        "junk": ("failed", 0, 0), "zero": ("empty", 0, 0), "bare": ("empty", 0, 0), "last": ("loaded", 1, 0), "gone": ("missing", 0, 0),
+    }
+    assert got.count() == 4 and got.columns == [*schemas.OD_RAW.names, "loaded_at", "source_file"]
+    assert rows(outcomes.outcome_totals(told)) == [(10, 3, 3, 3, 1, 4, 2)]
+    nothing, none = outcomes.load_files(spark, spark.createDataFrame([], "path string"), schemas.OD_RAW)
+    assert nothing.count() == 0 and rows(outcomes.outcome_totals(none)) == [(0, 0, 0, 0, 0, 0, 0)]

@@ -15,7 +15,8 @@ from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
 from flowlake.sinks import buckets, days, tables
-from flowlake.sources import catalog, feed, files
+from flowlake.sinks.folders import files_under, rename
+from flowlake.sources import catalog, feed, files, outcomes
 from flowlake.streaming import ingest
 from workload.sql import TABLES
 from workload.views import HOLED, LARGE_PARAMS, PARAMS, TRIANGLE, YEAR, Views
@@ -672,6 +673,37 @@ def ingest_summary(v: Views) -> DataFrame:
     return files.ingest_summary(raw).withColumnRenamed("source_file", "fecha")
 
 
+def delivered_files(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Rows and outcomes of a file per day, with lines that are too short, and of an empty, a broken and an absent file."""
+    folder = scratch_path(v.spark, "delivered")
+    raw = v.stored(v.od_raw(), "od-raw")
+    short = raw.where("viajes = '7'").select("fecha", F.concat_ws("|", "fecha", "periodo", "origen").alias("value"))
+    names = schemas.OD_RAW.names
+    lines = raw.select("fecha", F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in names]).alias("value")).union(short)
+    text = lines.groupBy("fecha").agg(F.concat_ws("\n", F.lit("|".join(names)), F.sort_array(F.collect_list("value"))).alias("value"))
+    text.repartition("fecha").write.partitionBy("fecha").option("compression", "gzip").text(folder)
+    v.spark.createDataFrame([("|".join(names),)], "value string").coalesce(1).write.text(f"{folder}/fecha=empty")
+    v.spark.createDataFrame([("this is no gzip file",)], "value string").coalesce(1).write.text(f"{folder}/plain")
+    (broken,) = [path for path, _ in files_under(v.spark, f"{folder}/plain")]
+    rename(v.spark, broken, f"{folder}/fecha=broken.csv.gz")
+    paths = [(path,) for path, _ in files_under(v.spark, folder)] + [(f"{folder}/fecha=missing.csv.gz",)]
+    manifest = v.spark.createDataFrame(paths, "path string")
+    rows, told = outcomes.load_files(v.spark, manifest, schemas.OD_RAW)
+    return rows, told.withColumn("fecha", F.regexp_extract("source_file", r"fecha=(\w+)", 1))
+
+
+@query
+def file_outcomes(v: Views) -> DataFrame:
+    """What became of each file."""
+    return delivered_files(v)[1].select("fecha", "status", "n_rows", "n_rejected")
+
+
+@query
+def loaded_rows(v: Views) -> DataFrame:
+    """The hourly fact of the files that were whole."""
+    return rounded(od.od_hourly(delivered_files(v)[0], v.holiday()), viajes=4, viajes_km=4)
+
+
 @query
 def stream_ingest(v: Views) -> DataFrame:
     """Files picked up by the stream, then the hourly fact from the table it wrote."""
