@@ -174,25 +174,48 @@ def within_polygon(lon: Column, lat: Column, wkt: str) -> Column:
         "array<struct<x1:double,y1:double,x2:double,y2:double,slope:double>>",
     )
 
-    def crosses(p: Column, e: Column) -> Column:
+    return box & _bind(F.struct(lon.alias("lon"), lat.alias("lat")), lambda p: _inside(p, literal))
+
+
+def _inside(p: Column, edges: Column) -> Column:
+    """Even-odd rule for a point (lon, lat), boundary excluded."""
+
+    def crosses(e: Column) -> Column:
         spans = (e["y1"] > p["lat"]) != (e["y2"] > p["lat"])
         return spans & (p["lon"] < e["x1"] + e["slope"] * (p["lat"] - e["y1"]))
 
-    def touches(p: Column, e: Column) -> Column:
-        turn = (e["x2"] - e["x1"]) * (p["lat"] - e["y1"]) - (e["y2"] - e["y1"]) * (
-            p["lon"] - e["x1"]
-        )
+    def touches(e: Column) -> Column:
+        turn = (e["x2"] - e["x1"]) * (p["lat"] - e["y1"]) - (e["y2"] - e["y1"]) * (p["lon"] - e["x1"])
         return (
             (turn == 0)
             & p["lon"].between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
             & p["lat"].between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         )
 
-    def inside(p: Column) -> Column:
-        odd = F.size(F.filter(literal, lambda e: crosses(p, e))) % 2 == 1
-        return odd & ~F.exists(literal, lambda e: touches(p, e))
+    odd = F.size(F.filter(edges, crosses)) % 2 == 1
+    return odd & ~F.exists(edges, touches)
+
+
+def edges(geometry: Column) -> Column:
+    """Edges of a geometry column, as :func:`polygon_edges` gives those of a text."""
+
+    def of_ring(ring: Column) -> Column:
+        ends = F.arrays_zip(F.slice(ring, 1, F.size(ring) - 1).alias("a"), F.slice(ring, 2, F.size(ring) - 1).alias("b"))
+
+        def edge(e: Column) -> Column:
+            a, b = e["a"], e["b"]
+            slope = F.when(a["y"] == b["y"], F.lit(0.0)).otherwise(F.try_divide(b["x"] - a["x"], b["y"] - a["y"]))
+            return F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"), slope.alias("slope"))
+
+        return F.transform(ends, edge)
+
+    rings = F.filter(F.flatten(geometry), lambda ring: F.size(ring) > 1)
+    return F.flatten(F.transform(rings, of_ring))
+
 
-    return box & _bind(F.struct(lon.alias("lon"), lat.alias("lat")), inside)
+def within_edges(lon: Column, lat: Column, edges_of: Column) -> Column:
+    """Whether a point lies strictly inside the polygon whose :func:`edges` a column holds."""
+    return _bind(F.struct(lon.alias("lon"), lat.alias("lat")), lambda p: _inside(p, edges_of))
 
 
 def geojson(geometry: Column) -> Column:

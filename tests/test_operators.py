@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowlake.operators import clusters, distribution, incremental, joins, merge, picks, sketches
+from flowlake.operators import clusters, distribution, incremental, joins, merge, picks, sketches, spatial
 from flowlake.sources import feed
 from tests.conftest import rows
 
@@ -369,3 +369,32 @@ def test_ranges_from_day_summaries(spark, monkeypatch, slack):
         assert r.n == len(inside) and (r.low, r.high) == (inside.min(), inside.max())
         assert (r["mean"], r.sd) == pytest.approx((inside.mean(), inside.std(ddof=1)))
     assert (got["c"].n, got["c"].sd) == (1, None)
+
+
+def test_points_in_many_polygons(spark):
+    from flowlake.functions.geo import parse_wkt, within_polygon
+
+    rng = random.Random(12)
+    shapes = ["POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 3 1, 3 3, 1 3, 1 1))", "POLYGON ((10 10, 10.00001 10, 10.00001 10.00001, 10 10))"]
+    shapes.append("MULTIPOLYGON (((-170 -80, 170 -80, 0 80, -170 -80)), ((20 70, 21 70, 21 71, 20 71, 20 70)))")
+    for _ in range(12):
+        x, y, size = rng.uniform(-20, 20), rng.uniform(-20, 20), 10 ** rng.uniform(-2, 1)
+        ring = [(x + size * rng.uniform(0.3, 1) * math.cos(k), y + size * rng.uniform(0.3, 1) * math.sin(k)) for k in np.linspace(0, 6, 9)]
+        shapes.append("POLYGON ((" + ", ".join(f"{a} {b}" for a, b in [*ring, ring[0]]) + "))")
+    points = [(k, rng.uniform(-22, 22), rng.uniform(-22, 22)) for k in range(1500)]
+    points += [(2000 + k, float(x), float(y)) for k, (x, y) in enumerate([(0, 0), (1, 1), (2, 2), (3, 2), (0.5, 0.5), (4, 1), (1, 3)])]
+    points += [(2100, 10.000006, 10.000002), (2101, None, 1.0), (2102, float("nan"), 1.0), (2000, 0.5, 0.5)]
+    df = spark.createDataFrame(points, "id int, lon double, lat double")
+    table = spark.createDataFrame([*enumerate(shapes), (90, None), (0, shapes[0])], "name int, wkt string")
+    got = spatial.points_in_polygons(df, table.withColumn("geometry", parse_wkt(F.col("wkt"))), "name")
+    want = []
+    for name, wkt in [*enumerate(shapes), (0, shapes[0])]:
+        inside = df.where(within_polygon(F.col("lon"), F.col("lat"), wkt)).where("not isnan(lon)").select("id", F.lit(name).alias("name"))
+        want += rows(inside)
+    assert rows(got.select("id", "name")) == sorted(want, key=repr) and len(want) > 300
+    assert got.columns == ["id", "lon", "lat", "name"]
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    none = table.limit(0).withColumn("geometry", parse_wkt(F.col("wkt")))
+    assert spatial.points_in_polygons(df, none, "name").count() == 0

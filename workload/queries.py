@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake import schemas
+from flowlake.functions.geo import parse_wkt
 from flowlake.functions.temporal import day_key
 from flowlake.functions.text import clean_population as clean_text_population
-from flowlake.operators import distribution, incremental, joins, merge, picks, sketches
+from flowlake.operators import distribution, incremental, joins, merge, picks, sketches, spatial
 from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
@@ -361,6 +362,17 @@ def range_moments(v: Views) -> DataFrame:
     return rounded(parts[0].union(parts[1]), mean=6, sd=5, low=4, high=4)
 
 
+@query
+def points_in_zones(v: Views) -> DataFrame:
+    """Places on a tenth-degree grid, many of them on borders, in all zones: squares, holed ones, pairs of squares."""
+    key = F.col("p_partkey")
+    places = v.table("part").select(
+        "p_partkey", ((key % 1200) / 10 - 9).alias("lon"), (36 + (key % 150) / 10).alias("lat")
+    )
+    polygons = v.municipality_zone_raw().distinct().select(F.col("ID").alias("zone_id"), parse_wkt(F.col("geometry")).alias("geometry"))
+    return spatial.points_in_polygons(places, polygons, "zone_id").select("p_partkey", "zone_id")
+
+
 @query
 def report_json(v: Views) -> DataFrame:
     return reports.as_json_rows(arcs(v).select("origin", "destination"))
