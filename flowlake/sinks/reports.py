@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -38,10 +39,28 @@ def report_path(base: str, question: int, run: str, artifact: str) -> str:
     return f"{base.rstrip('/')}/gold/question{question}/{run}/{artifact}"
 
 
-def write_report(report: DataFrame, base: str, question: int, run: str, artifact: str) -> str:
-    """Write report rows as JSON lines under the run's folder; returns the path."""
+Hook = Callable[[DataFrame], DataFrame]
+
+
+def hooked(report: DataFrame, hooks: Iterable[Hook] = (), keep: Iterable[str] = ()) -> DataFrame:
+    """A report after its hooks, each a function from DataFrame to DataFrame, in order.
+
+    A hook may add columns and rows and drop them, but not the columns in ``keep``: what reads the report relies on
+    them. Functions are passed as they are, never as text; a body over pandas fits in ``mapInPandas``.
+    """
+    for hook in hooks:
+        report = report.transform(hook)
+        if lost := [c for c in keep if c not in report.columns]:
+            raise ValueError(f"{getattr(hook, '__name__', 'hook')} dropped {lost}")
+    return report
+
+
+def write_report(
+    report: DataFrame, base: str, question: int, run: str, artifact: str, hooks: Iterable[Hook] = ()
+) -> str:
+    """Write report rows, after the hooks, as JSON lines under the run's folder; returns the path."""
     path = report_path(base, question, run, artifact)
-    report.write.mode("overwrite").json(path)
+    hooked(report, hooks).write.mode("overwrite").json(path)
     return path
 
 

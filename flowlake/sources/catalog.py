@@ -65,6 +65,11 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def preview(table: DataFrame, order: list[str], n: int = 10) -> DataFrame:
+    """The first ``n`` rows by ``order``, the same ones at every call; ``n = 0`` shows the columns only."""
+    return table.orderBy(*order).limit(n)
+
+
 def is_loaded(spark: SparkSession, name: str) -> bool:
     """Whether a table exists and has a row, in which case a one-off load is skipped."""
     return spark.catalog.tableExists(name) and not spark.table(name).isEmpty()

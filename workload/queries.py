@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlake import schemas
-from flowlake.functions.geo import parse_wkt
+from flowlake.functions.geo import distance_km, map_centre, parse_wkt
 from flowlake.functions.temporal import day_key
 from flowlake.functions.text import clean_population as clean_text_population
 from flowlake.operators import distribution, incremental, joins, merge, picks, sketches, spatial
@@ -16,6 +17,7 @@ from flowlake.plans import gravity, lake, od, reports, zone_function
 from flowlake.plans import zones as Z
 from flowlake.session import configure, scratch_path
 from flowlake.sinks import buckets, days, tables
+from flowlake.sinks import reports as report_sink
 from flowlake.sinks.folders import files_under, rename
 from flowlake.sources import catalog, feed, files, outcomes
 from flowlake.streaming import ingest
@@ -862,3 +864,98 @@ def random_sample(v: Views) -> DataFrame:
 @query
 def row_counts(v: Views) -> DataFrame:
     return catalog.row_counts({t: v.table(t) for t in TABLES})
+
+
+# -- the rest of the readers, writers and report helpers ------------------------------------------------
+
+
+@query
+def zone_relation_file(v: Views) -> DataFrame:
+    """The code relation as a file with more columns than wanted; codes stay text."""
+    names = schemas.ZONE_RELATION.names
+    path = scratch_path(v.spark, "relation")
+    given = v.zone_relation()
+    filled = [F.col(c) if c in given.columns else F.lit("007").alias(c) for c in names]
+    given.select(F.lit("x").alias("extra"), *filled).write.option("header", True).option("sep", "|").csv(path)
+    return files.read_zone_relation(v.spark, path).select(*given.columns)
+
+
+@query
+def boundary_links(v: Views) -> DataFrame:
+    """Boundary files of a feed line per part; of the attribute files the first address of each kind."""
+    k = F.col("p_partkey")
+    name = F.when(k % 4 == 0, F.concat(F.lit("zona_"), k % 50, F.lit(".shp"))).when(k % 4 == 1, F.concat(F.lit("zona_"), k % 50, F.lit(".DBF")))
+    name = name.when(k % 4 == 2, "nombres_municipios.csv").otherwise("poblacion_municipios.csv")
+    text = F.concat(F.lit('<a href="https://'), F.chr(97 + k % 5), F.lit(".example.org/zonificacion/zonificacion_municipios/"), name, F.lit('">'))
+    return feed.boundary_files(v.table("part").select(text.alias("value")), "value", "municipios")
+
+
+@query
+def catalog_day_table(v: Views) -> DataFrame:
+    """A catalog table made empty from a schema, then filled by column name in two loads."""
+    name = f"flowlake_days_{uuid.uuid4().hex}"
+    rows = hourly(v)
+    for _ in range(2):  # the second call finds it
+        tables.create_day_table(v.spark, name, rows.schema, "fecha")
+    swapped = rows.select(*reversed(rows.columns))
+    try:
+        tables.insert_into(rows.where("hour(fecha) < 12"), name, "fecha")
+        tables.insert_into(swapped.where("hour(fecha) >= 12"), name, "fecha")
+        kept = v.stored(v.spark.table(name).drop(*incremental.PARTS), "catalog-days")
+    finally:
+        tables.drop_tables(v.spark, [name], dry_run=False)
+    return rounded(kept, viajes=4, viajes_km=4)
+
+
+@query
+def row_level_load(v: Views) -> DataFrame:
+    """The second half of the events on top of the first, loaded twice: rows that are there already stay out."""
+    path = scratch_path(v.spark, "row-level")
+    source, target = event_halves(v)
+    tables.append(target, path)
+    for _ in range(2):
+        tables.append_new_rows(source, path)
+    tables.append_new_rows(source.limit(0), path)
+    return v.spark.read.schema(target.schema).parquet(path)
+
+
+@query
+def holiday_names(v: Views) -> DataFrame:
+    """Flows on nationwide holidays, with the holiday's name."""
+    counts = od.day_counts(hourly(v)).withColumn("date", F.to_date("fecha", "yyyyMMdd"))
+    return joins.lookup_join(counts, v.holiday(), {"date": "date"}).select("fecha", "name", "n_rows")
+
+
+@query
+def od_hourly_with_residence(v: Views) -> DataFrame:
+    """The hourly fact without rows whose residence is not known."""
+    raw = v.od_raw().withColumn("residencia", F.nullif("residencia", F.lit("error")))
+    return rounded(od.od_hourly(raw, v.holiday(), require_residence=True), viajes=4, viajes_km=4)
+
+
+@query
+def zones_from_map_centre(v: Views) -> DataFrame:
+    """Distance of every zone from the centre of a report's map."""
+    centre = map_centre(PARAMS.polygon)
+    zones = v.zone().select("id", F.col("centroid.lon").alias("lon"), F.col("centroid.lat").alias("lat"))
+    km = distance_km(F.col("lon"), F.col("lat"), centre["lon"], centre["lat"])
+    return rounded(zones.select("id", km.alias("km")), km=6)
+
+
+@query
+def table_preview(v: Views) -> DataFrame:
+    """First rows of the name mapping."""
+    return catalog.preview(v.name_map(), ["nombre", "codigo_ine", "municipio_mitma"], 10)
+
+
+@query
+def hooked_report(v: Views) -> DataFrame:
+    """A report after two hooks: a share of the total, and the larger ones only."""
+
+    def with_share(report: DataFrame) -> DataFrame:
+        total = report.agg(F.sum("total_trips")).first()[0]
+        return report.withColumn("share", F.col("total_trips") / F.lit(total))
+
+    report = reports.top_origins(od.typical_day(hourly(v)), v.zone(), PARAMS)
+    report = report_sink.hooked(report, [with_share, lambda r: r.where("share >= 0.1")], keep=["origin"])
+    return rounded(report, total_trips=4, share=6)
