@@ -230,6 +230,57 @@ def test_near_vectors_in_a_dense_table(spark, monkeypatch, run):
     assert got == {k: (int(degree[k]), int(want[k])) for k in range(len(made))}
 
 
+def test_equal_vectors_take_part_once(spark, monkeypatch):
+    """A third of the rows and more are one vector: work grows with the different ones, links count all."""
+    monkeypatch.setattr(vectors, "RUN", 64)
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(16)
+    made = [base] * 20_000 + [base + 0.05 * rng.standard_normal(16) for _ in range(5)] + [rng.standard_normal(16) for _ in range(500)]
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(made)], "vec_id long, embedding array<double>")
+    spied = []
+    planned = vectors.plan_passes
+    monkeypatch.setattr(vectors, "plan_passes", lambda usable, rows, *rest: spied.append(rows) or planned(usable, rows, *rest))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(frame).collect()}
+    unit = np.array([v / np.linalg.norm(v) for v in made])
+    unit[:20_000] = unit[0]
+    weight = np.concatenate([[20_000], np.ones(505)])
+    some = unit[[0, *range(20_000, 20_505)]]
+    near = some @ some.T >= 0.9
+    degree = near @ weight - 1
+    assert spied == [506]
+    assert all(got[k] == (degree[0], 0, k == 0) for k in range(20_000))
+    assert [got[20_000 + k][0] for k in range(505)] == degree[1:].astype(int).tolist()
+    assert [got[20_000 + k][1] for k in range(5)] == [0] * 5
+
+
+def test_windows_reach_over_partitions(spark):
+    """Neighbours in the order of one pass meet although leading signs differ and partitions part them."""
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((300, 24))
+    made = np.stack([base, base + 0.1 * rng.standard_normal(base.shape)], 1).reshape(-1, 24)
+    made /= np.linalg.norm(made, axis=1, keepdims=True)
+    rows = [(k, 24, v.tobytes(), 1) for k, v in enumerate(made)]
+    classes = spark.createDataFrame(rows, vectors.VECTORS + ", n long")
+    found = {tuple(sorted(r)) for r in vectors._links(classes, len(rows), 1, 24, 0.9).collect()}
+    order = np.argsort(vectors._signs(made, 1, vectors.BITS)[:, 0], kind="stable")
+    beside = {tuple(sorted((int(a), int(b)))) for a, b in zip(order, order[1:]) if made[a] @ made[b] >= 0.9}
+    leading = vectors._signs(made, 1, vectors.BITS)[:, 0] >> (vectors.BITS - 24)
+    assert beside <= found and any(leading[a] != leading[b] for a, b in beside)
+    assert all(made[a] @ made[b] >= 0.9 for a, b in found)
+
+
+def test_a_pair_is_decided_alike_wherever_it_is_met():
+    rng = np.random.default_rng(5)
+    a = rng.standard_normal((200, 48))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    threshold = float((a[3] * a[8]).sum())
+    whole = vectors._near(a, a, threshold)
+    assert whole[3, 8] and (whole == whole.T).all()
+    for size in (1, 7, 33):
+        parts = [np.concatenate([vectors._near(a[i : i + size], a[j : j + 5], threshold) for j in range(0, 200, 5)], 1) for i in range(0, 200, size)]
+        assert (np.concatenate(parts) == whole).all()
+
+
 def test_passes_follow_the_chance_of_a_miss():
     agree = 1 - np.arccos(0.9) / np.pi
     for signs in (1, 6, 14):
