@@ -205,7 +205,8 @@ WINDOWED = "a long, b long, border int, head boolean, turn int, dim int, vec_id
 
 def _windows(threshold: float):
     """Links of each vector with the neighbours in its window; rows come sorted by pass, length and signs.
-    The first and last WINDOW rows are sent on, so that windows reach into the next partition."""
+    The first and last WINDOW rows are sent on, so that windows reach into the next partition. Runs that
+    come in blocks stand between them, group by group."""
 
     def links(table: pa.Table, last: bool):
         """Links of the rows whose windows are whole, and how many rows these are."""
@@ -214,8 +215,7 @@ def _windows(threshold: float):
         series = np.concatenate([[0], np.cumsum((np.diff(key[:2]) != 0).any(0))])
         run = np.concatenate([[0], np.cumsum((np.diff(key) != 0).any(0))])
         reach = np.arange(count) + 1 + WINDOW
-        small = np.asarray(table["blocks"]) == 1
-        reach[small] = np.maximum(reach, np.searchsorted(run, run, "right"))[small]
+        reach = np.maximum(reach, np.searchsorted(run, run, "right"))
         reach = np.minimum(reach, np.searchsorted(series, series, "right"))  # never into another pass or length
         done = count if last else max(0, count - RUN - WINDOW)
         out = []
@@ -233,26 +233,52 @@ def _windows(threshold: float):
 
     def windows(batches):
         part = TaskContext.get().partitionId()
-        head, held, size = 0, [], 0
-        for batch in batches:
-            if head < WINDOW and len(batch):
-                first = batch.slice(0, WINDOW - head)
-                head += len(first)
-                yield _window_rows(border=part, head=True, part=pa.Table.from_batches([first]))
-            held.append(batch)
-            size += len(batch)
-            if size > 4 * (RUN + WINDOW):
-                table = pa.Table.from_batches(held).combine_chunks()
-                found, done = links(table, False)
-                for a, b in found:
-                    yield _window_rows(a, b)
-                held = table.slice(done).to_batches()
-                size = len(table) - done
-        if size:
+        head, held, size, blocked = 0, [], 0, []
+
+        def windowed(last: bool):
+            nonlocal held, size
             table = pa.Table.from_batches(held).combine_chunks()
-            for a, b in links(table, True)[0]:
+            found, done = links(table, last)
+            held = table.slice(done).to_batches()
+            size = len(table) - done
+            for a, b in found:
+                yield _window_rows(a, b)
+
+        def compared():
+            nonlocal blocked
+            table = pa.Table.from_batches([x for _, x in blocked])
+            blocked = []
+            for a, b in _block_links(table, threshold):
                 yield _window_rows(a, b)
-            yield _window_rows(border=part + 1, head=False, part=table.slice(max(0, len(table) - WINDOW)).combine_chunks())
+
+        for batch in batches:
+            blocks = np.asarray(batch.column(batch.schema.get_field_index("blocks"))) if len(batch) else np.zeros(0)
+            group = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c))) for c in GROUP]) if len(batch) else np.zeros((len(GROUP), 0))
+            turns = (np.diff(blocks > 1) != 0) | ((np.diff(group) != 0).any(0) & (blocks[1:] > 1))
+            cuts = np.unique([0, *(np.flatnonzero(turns) + 1).tolist(), len(batch)]).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                rows, key = batch.slice(a, b - a), group[:, a].tolist()
+                if blocked and (blocks[a] == 1 or blocked[0][0] != key):
+                    yield from compared()
+                if blocks[a] > 1:
+                    if size:
+                        yield from windowed(True)
+                    blocked.append((key, rows))
+                    continue
+                if head < WINDOW:
+                    first = rows.slice(0, WINDOW - head)
+                    head += len(first)
+                    yield _window_rows(border=part, head=True, part=pa.Table.from_batches([first]))
+                held.append(rows)
+                size += len(rows)
+                if size > 4 * (RUN + WINDOW):
+                    yield from windowed(False)
+        if blocked:
+            yield from compared()
+        if size:
+            tail = pa.Table.from_batches(held).combine_chunks()
+            yield from windowed(True)
+            yield _window_rows(border=part + 1, head=False, part=tail.slice(max(0, len(tail) - WINDOW)).combine_chunks())
 
     return windows
 
@@ -272,45 +298,24 @@ def _across(threshold: float):
     return across
 
 
-def _compare(threshold: float):
-    """What all pairs of two blocks of a run connect; rows come sorted by run and block. Each
-    component is sent as a star: all links are counted later, so a crowd need not send each of them."""
-
-    def linked(table: pa.Table):
-        ids, own = np.asarray(table["vec_id"]), np.asarray(table["own"])
-        vectors = _matrix(table["vector"], table["dim"][0].as_py())
-        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
-        near = np.zeros((len(ids), len(ids)), bool)
-        mine, others = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        for at in range(0, len(mine), 512):
-            rows = mine[at : at + 512]
-            near[np.ix_(rows, others)] = _near(vectors[rows], vectors[others], threshold)
-        np.fill_diagonal(near, False)
-        near |= near.T
-        for first, rest in _reached(near):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rest), ids[first])), pa.array(ids[rest])], ["a", "b"])
-
-    def compare(batches):
-        held = []
-        for batch in batches:
-            group = np.stack([np.asarray(batch.column(batch.schema.get_field_index(c))) for c in GROUP]) if len(batch) else np.zeros((len(GROUP), 0))
-            cuts = [0, *(np.flatnonzero((np.diff(group) != 0).any(0)) + 1).tolist(), len(batch)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                key = group[:, a].tolist()
-                if held and held[0][0] != key:
-                    yield from linked(pa.Table.from_batches([x for _, x in held]))
-                    held = []
-                held.append((key, batch.slice(a, b - a)))
-        if held:
-            yield from linked(pa.Table.from_batches([x for _, x in held]))
-
-    return compare
+def _block_links(table: pa.Table, threshold: float):
+    """What all pairs of two blocks of a run connect. Each component is sent as a star: all links are
+    counted later, so a crowd need not send each of them."""
+    ids, own = np.asarray(table["vec_id"]), np.asarray(table["own"])
+    vectors = _matrix(table["vector"], table["dim"][0].as_py())
+    near = np.zeros((len(ids), len(ids)), bool)
+    mine, others = np.flatnonzero(own == table["lo"][0].as_py()), np.flatnonzero(own == table["hi"][0].as_py())
+    for at in range(0, len(mine), 512):
+        rows = mine[at : at + 512]
+        near[np.ix_(rows, others)] = _near(vectors[rows], vectors[others], threshold)
+    np.fill_diagonal(near, False)
+    near |= near.T
+    for first, rest in _reached(near):
+        yield np.full(len(rest), ids[first]), ids[rest]
 
 
-#: What one comparison is about: a run, and two blocks of it.
-GROUP = ("dim", "turn", "key", "lo", "hi")
+#: What one comparison of blocks is about: a run, and two blocks of it. Runs in windows have block 0 only.
+GROUP = ("turn", "dim", "key", "lo", "hi")
 
 
 def _count(threshold: float):
@@ -395,21 +400,14 @@ def _links(classes: DataFrame, rows: int, passes: int, signs: int, threshold: fl
     dealt = classes.mapInArrow(_project(passes, signs), "turn int, key long, bits long, " + VECTORS)
     dealt = dealt.join(full.drop("n"), ["dim", "turn", "key"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
 
-    # a range never parts a run that windows cover; larger ones may be parted anywhere
-    parts = max(24, -(-rows * passes // 20_000))
-    inside = [F.when(F.col("blocks") > 1, F.col(c)).otherwise(0) for c in ("bits", "vec_id")]
-    ordered = dealt.repartitionByRange(parts, "turn", "dim", "key", *inside).sortWithinPartitions("turn", "dim", "bits", "vec_id")
+    # a run in blocks sends each vector once a block; a range parts neither a small run nor a pair of blocks
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other")
+    more = full.agg(F.coalesce(F.sum(F.col("n") * (F.col("blocks") - 1)), F.lit(0))).first()[0]
+    parts = max(24, -(-(rows * passes + more) // 20_000))
+    ordered = dealt.repartitionByRange(parts, *GROUP).sortWithinPartitions(*GROUP, "bits", "vec_id")
     windowed = stored(ordered.mapInArrow(_windows(threshold), WINDOWED), "vector-windows")
     borders = windowed.where("border is not null").select("border", "head", "turn", "dim", "vec_id", "vector")
     across = borders.groupBy("border", "turn", "dim").applyInArrow(_across(threshold), "a long, b long")
-    links = windowed.where("a is not null").select("a", "b").union(across)
-
-    sent = full.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0]
-    if not sent:
-        return links
-    blocked = dealt.where("blocks > 1").drop("bits").withColumn("own", F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), "blocks").cast("int"))
-    blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = blocked.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("blocks", "other")
-    parts = max(24, -(-sent // 20_000))
-    blocked = blocked.repartition(parts, *GROUP).sortWithinPartitions(*GROUP)
-    return links.union(blocked.mapInArrow(_compare(threshold), "a long, b long"))
+    return windowed.where("a is not null").select("a", "b").union(across)
