@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlake.session import scratch_path
+
 BLOCK_BYTES = 4 << 20
 #: Hashes a bucket holds on average; a task sorts one bucket at a time.
 BUCKET_HASHES = 1 << 19
@@ -21,8 +23,9 @@ MAX_TABLE_BUCKETS = 20_000
 def text_blocks(docs: DataFrame, text: str, key: list[str], block_bytes: int = BLOCK_BYTES):
     """Write ``docs`` as a table bucketed by a new ``block`` column; (table, blocks, bytes of text).
 
-    The table lies in the warehouse, which all executors share. Joins and groupings by ``block`` read
-    it without a shuffle. A text longer than a block makes its block longer.
+    The table lies in the shared folder, like all intermediates, and leaves the catalog at once: the frame
+    keeps its files and buckets. Joins and groupings by ``block`` read it without a shuffle. A text longer
+    than a block makes its block longer.
     """
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
@@ -34,9 +37,11 @@ def text_blocks(docs: DataFrame, text: str, key: list[str], block_bytes: int = B
         .repartition(buckets, "block")
         .write.bucketBy(buckets, "block")
         .option("compression", "zstd")
-        .saveAsTable(name, format="parquet")
+        .saveAsTable(name, format="parquet", path=scratch_path(spark, "llm-blocks"))
     )
-    return spark.table(name), blocks, size
+    table = spark.table(name)
+    spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": name})
+    return table, blocks, size
 
 
 def bucket_count(hashes: int) -> int:

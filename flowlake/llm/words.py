@@ -1,13 +1,16 @@
 """Words of many texts at once, as 64-bit hashes computed from the UTF-8 bytes of an Arrow column.
 
 A word is a run of bytes other than space and tab to carriage return (0x20, 0x09-0x0D). Hashes are
-polynomials over random byte values modulo 2**64, taken from running sums, then mixed.
+polynomials over random byte values modulo 2**64, taken from running sums, then mixed. Such polynomials
+agree for some pairs of long words (from 1,024 letters on, made of two letters by a rule), so words of
+more than LONG bytes are hashed one by one with BLAKE2 instead.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +18,7 @@ import pyarrow as pa
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 PIECE = 1 << 18
+LONG = 128
 SPACES = [0x20, *range(0x09, 0x0E)]
 
 
@@ -137,7 +141,12 @@ def _hashes(data, start, end, lower, seed) -> np.ndarray:
         begin = start[at:upto] - low
         out[at:upto] = (sums[end[at:upto] - low] - sums[begin]) * powers(high - low + 1, inverse)[begin]
         at = upto
-    return mix(out)
+    out = mix(out)
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        word = data[start[k] : end[k]].tobytes()
+        digest = blake2b(word.lower() if lower else word, digest_size=8, key=seed.to_bytes(8, "little"))
+        out[k] = int.from_bytes(digest.digest(), "little")
+    return out
 
 
 def grams(hashes: np.ndarray, size: int, salt: int = 0) -> np.ndarray:

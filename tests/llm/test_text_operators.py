@@ -15,6 +15,26 @@ from flowlake.llm.words import PIECE, grams, split_words
 from tests.llm import data
 
 
+def alike(size):
+    """Two different words whose polynomials agree modulo 2**64, whatever the base and the byte values."""
+    word = "".join("ab"[k.bit_count() % 2] for k in range(size))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_words_made_to_agree_have_different_hashes(size):
+    assert len(set(split_words(pa.array([" ".join(alike(size))])).hash.tolist())) == 2
+
+
+def test_no_repeat_is_seen_in_words_made_to_agree(spark):
+    """And no table stays in the catalog, whose files the result still reads."""
+    one, other = alike(2048)
+    rows = [(1, " ".join([one] * 20)), (2, " ".join([other] * 20)), (3, " ".join([one] * 20))]
+    found = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("flowlake_blocks")] == []
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in found.collect()} == {1: (20, 0), 2: (20, 0), 3: (20, 20)}
+
+
 def test_words_of_many_texts():
     values = ["a b", None, "", " b  a\x0b", "A b", "äö\x85x", "x" * (PIECE + 5) + " tail", "tail"]
     found = split_words(pa.chunked_array([values[:3], values[3:]], pa.string()))
@@ -27,7 +47,8 @@ def test_words_of_many_texts():
     for word, hashed in zip(itertools.chain(*own), found.hash.tolist()):
         assert key.setdefault(word, hashed) == hashed
     assert len(set(key.values())) == len(key)
-    folded = split_words(pa.array(["A b", "a B"]), lower=True)
+    folded = split_words(pa.array(["A b", "a B", "Q" * 300 + "x", "q" * 300 + "X"]), lower=True)
+    assert folded.hash[4] == folded.hash[5]
     assert folded.hash[0] == folded.hash[2] and folded.hash[1] == folded.hash[3]
     assert len(grams(found.hash[:1], 2)) == 0
 
