@@ -285,7 +285,7 @@ short AS (SELECT doc_id, item_id, shift, size, min(ip) AS ip, sum(same) AS m, co
 held AS (
     SELECT doc_id, item_id, m, size, ip + shift AS dp, ip FROM long WHERE c = 13 AND m >= 11
     UNION ALL
-    SELECT doc_id, item_id, m, size, ip + shift, ip FROM short WHERE c = size AND m = size)
+    SELECT doc_id, item_id, m, size, ip + shift, ip FROM short WHERE c = size AND m >= size - CAST(size >= 8 AS INT))
 SELECT doc_id, item_id, CAST(m AS BIGINT) AS n_matched, CAST(size AS BIGINT) AS n_window,
        CAST(dp AS BIGINT) AS doc_start, CAST(ip AS BIGINT) AS item_start
 FROM held QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY m DESC, dp, ip) = 1""",

@@ -180,12 +180,36 @@ def test_masks_meet_every_pair_of_replaced_words():
         )
 
 
+def test_masks_of_short_items_meet_every_replaced_word():
+    for size in range(1, decontam.WINDOW):
+        masks = decontam.masks_of(size)
+        assert all(len(m) == size for m in masks)
+        assert size < 8 or all(any(m[k] == "0" for m in masks) for k in range(size))
+
+
+@pytest.mark.parametrize("proposals", [1 << 21, 1000])
+def test_one_word_over_and_over(monkeypatch, proposals):
+    """A seed that repeats in text and item: every alignment once, in bounded parts."""
+    monkeypatch.setattr(decontam, "PROPOSALS", proposals)
+    items = decontam.Items([1, 2], [" ".join(["a"] * 200), " ".join(["a"] * 9 + ["b"])])
+    words = split_words(pa.array([" ".join(["x"] + ["a"] * 1500), "a a a a", " ".join(["a"] * 10)]), lower=True)
+    assert items.matches(words) == [(0, 0, 13, 13, 1, 0), (0, 1, 9, 10, 1, 0), (2, 1, 9, 10, 0, 0)]
+
+
+def test_short_items_are_looked_up_when_asked_for(spark):
+    docs = spark.createDataFrame([(1, "say Two Words here"), (2, "two other words"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "two words"), (8, "")], "item_id long, text string")
+    assert decontam.contamination(docs, bench).collect() == []
+    assert [tuple(r) for r in decontam.contamination(docs, bench, min_words=1).collect()] == [(1, 7, 2, 2, 1, 0)]
+    assert sorted(r.doc_id for r in decontam.decontaminate(docs, bench, min_words=1).collect()) == [2, 3]
+
+
 def held(text, item):
     own, want = data.words(text, lower=True), data.words(item, lower=True)
     if len(want) < decontam.MIN_WORDS:
         return None
-    size = min(len(want), decontam.WINDOW)
-    allowed = decontam.MAY_DIFFER if len(want) >= decontam.WINDOW else 0
+    size = min(len(want), 13)
+    allowed = 2 if len(want) >= 13 else 1 if len(want) >= 8 else 0
     best = None
     for a in range(len(own) - size + 1):
         for b in range(len(want) - size + 1):
@@ -200,7 +224,7 @@ def test_contamination(spark, monkeypatch, block):
     monkeypatch.setattr(decontam, "BLOCK_WORDS", block)
     rng = random.Random(9)
     vocab = data.vocabulary(rng)
-    items = [" ".join(rng.choices(vocab, k=n)) for n in (5, 8, 12, 13, 20, 50, 30)]
+    items = [" ".join(rng.choices(vocab, k=n)) for n in (5, 8, 12, 13, 20, 50, 30, 7, 9, 10, 11)]
     items += [items[4], "two words", None, ""]
     values = data.texts(3, 30)
     for k, item in enumerate(x for x in items if x):
