@@ -275,8 +275,8 @@ def _slices(batches, texts: int = 2048):
 PARTS = 16
 
 
-def _train(table: DataFrame, model: Model, shares: np.ndarray) -> Model:
-    """One round of Baum-Welch over all training texts."""
+def _train(table: DataFrame, model: Model, shares: np.ndarray, slots: int = 1) -> Model:
+    """One round of Baum-Welch over all training texts; sums of tasks meet in ``slots`` groups a part first."""
 
     def expect(batches):
         sums = None
@@ -293,7 +293,10 @@ def _train(table: DataFrame, model: Model, shares: np.ndarray) -> Model:
         return pa.table({"part": part["part"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
     kind = "part int, sums binary"
-    rows = table.where("not held").select("symbols").mapInArrow(expect, kind).groupBy("part").applyInArrow(add, kind).collect()
+    sums = table.where("not held").select("symbols").mapInArrow(expect, kind)
+    sums = sums.withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
+    sums = sums.groupBy("part", "slot").applyInArrow(add, kind)
+    rows = sums.groupBy("part").applyInArrow(add, kind).collect()
     if not rows:
         return model
     sums = np.concatenate([np.frombuffer(bytes(r.sums)) for r in sorted(rows, key=lambda r: r.part)])
@@ -311,13 +314,14 @@ def score_texts(
 
     ``held`` is true where a text does not train. Tokens are words with A-Z lower-cased, then one end.
     base_score is the add-one unigram score, score the model's, both log10 of the whole text. Null and
-    empty texts are the end alone. A null ``held`` counts as held out. Repeated rows train and are
+    empty texts are the end alone; a text of more than BATCH_TOKENS tokens trains in sequences of
+    as many, and is scored as one. A null ``held`` counts as held out. Repeated rows train and are
     scored each; other columns are ignored. Without training texts every symbol is as likely.
     """
     slim = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(held, F.lit(True)).alias("held"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    table, _, size = text_blocks(slim, "text", ["id"])
+    table, blocks, size = text_blocks(slim, "text", ["id"])
     buckets = bucket_count(size // 12)
     groups = table.groupBy("block")
     sent = stored(groups.applyInArrow(_send(buckets), SENT), "block-words")
@@ -334,7 +338,7 @@ def score_texts(
     first = coded.where("not held").where(near).orderBy(place, "symbols").limit(START_TEXTS).select("symbols").collect()
     model = _start_model([np.frombuffer(bytes(r.symbols), np.uint16) for r in first], shares, states)
     for _ in range(iterations):
-        model = _train(coded, model, shares)
+        model = _train(coded, model, shares, math.isqrt(blocks))
 
     def score(batches):
         for batch in _slices(batches):
