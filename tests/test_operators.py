@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowlake.operators import clusters, distribution, incremental, joins, merge, picks, sketches, spatial
+from flowlake.sinks import tables
 from flowlake.sources import feed
 from tests.conftest import rows
 
@@ -398,3 +399,34 @@ def test_points_in_many_polygons(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     none = table.limit(0).withColumn("geometry", parse_wkt(F.col("wkt")))
     assert spatial.points_in_polygons(df, none, "name").count() == 0
+
+
+def test_points_in_polygons_deal_out_cells_and_places(spark, monkeypatch):
+    """Polygons of one task make cells in several, with the edges near them; rows of a place are joined as one."""
+    from flowlake.functions.geo import edges, parse_wkt, within_edges
+
+    kept = {}
+
+    def stored(df, name):
+        kept[name] = tables.stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(spatial, "stored", stored)
+    monkeypatch.setattr(spatial, "TOGETHER", 3, raising=False)  # several lists a place
+    corners = [(8 * math.cos(k * math.pi / 200), 8 * math.sin(k * math.pi / 200)) for k in range(400)]
+    disc = "POLYGON ((" + ", ".join(f"{a} {b}" for a, b in [*corners, corners[0]]) + "))"
+    unclosed = "POLYGON ((0 0, 9 0, 9 9, 0 9, x))"
+    wkts = [(k, disc) for k in range(12)] + [(3, disc), (None, disc), (20, unclosed)]
+    shapes = spark.createDataFrame(wkts, "name int, wkt string").coalesce(1).withColumn("geometry", parse_wkt(F.col("wkt")))
+    places = [(0.0, -0.0)] * 7 + [(0.0, 0.0)] * 2 + [(7.9, 0.1)] * 4 + [(8.0, 0.0), (9.0, 0.5), (None, 1.0)]
+    df = spark.createDataFrame([(k % 5, *place, {"n": k}) for k, place in enumerate(places)], "id int, lon double, lat double, more map<string,int>")
+    got = spatial.points_in_polygons(df, shapes, "name")
+    tried = df.crossJoin(shapes.select("name", edges(F.col("geometry")).alias("e"))).where(within_edges(F.col("lon"), F.col("lat"), F.col("e")))
+    want = rows(tried.drop("e"))
+    assert rows(got) == want and len(want) == 13 * 14 + 4
+    cells = kept["polygon-cells"]
+    assert len(cells.inputFiles()) > 1
+    assert cells.where("border").agg(F.max(F.size("edges"))).first()[0] < 200
+    assert cells.where("not border and edges is not null").isEmpty()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2
